@@ -8,27 +8,135 @@ are reproducible. Oracle SQL for each key lives in ``oracle/queries.py``.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martforge.config import MartConfig
-from martforge.plans import purchasing
+from martforge.functions.columns import strip_leading_zeros
+from martforge.operators.hierarchy import childless_nodes
+from martforge.operators.matching import running_total
+from martforge.operators.purchasing import in_doc_range
+from martforge.plans import bom, codes, controlling, materials, partners, purchasing
+from martforge.session import checkpoint_dir
+from martforge.sources.base import Sources
+from martforge.sources.schemas import QTY
 from martforge.sources.shape import DriverSources
+from martforge.sources.sinks import with_surrogate_key, write_mart
 
 AS_OF = dt.date(2000, 1, 1)
-DRIVER_CONFIG = MartConfig(as_of=AS_OF)
+
+# Synthetic affiliate configuration for the driver data (company data in a real deployment).
+DRIVER_CONFIG = MartConfig(
+    as_of=AS_OF,
+    customer_name_patterns=("er#0000001", "ER#0000005"),
+    customer_labels={"0000000101": "SITE NORTH", "0000000150": "SITE NORTH", "C109": "SITE EAST",
+                     "0000000512": "SITE WEST"},
+    customer_excluded_name_prefix="BLK3",
+    customer_excluded_number_part="FR",
+    vendor_name_patterns=("ER#00000001", "er#00000004"),
+    vendor_labels={"0000000010": "SITE NORTH", "0000000041": "SITE SOUTH", "0000000047": "SITE SOUTH"},
+)
+
+
+def _src(spark: SparkSession, sf_dir: str) -> Sources:
+    return DriverSources(spark, sf_dir)
 
 
 def _mart(build) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(DriverSources(spark, sf_dir), DRIVER_CONFIG)
+        return build(_src(spark, sf_dir), DRIVER_CONFIG)
 
     run.__name__ = getattr(build, "__name__", "mart")
     run.__doc__ = build.__doc__
     return run
 
 
+def otd_status_by_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schedule lines and scheduled quantity per vendor and delivery status."""
+    otd = purchasing.vendor_otd(_src(spark, sf_dir), DRIVER_CONFIG)
+    return (otd.groupBy("vendor_account_number", "vendor_name", "otd_status")
+            .agg(F.count(F.lit(1)).alias("lines"), F.sum("scheduled_quantity").cast(QTY).alias("scheduled_quantity")))
+
+
+def running_qty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schedule rank and running scheduled quantity per PO item (due date, line counter)."""
+    cfg = DRIVER_CONFIG
+    eket = (_src(spark, sf_dir).scoped("EKET", cfg).filter(in_doc_range(cfg.po_range))
+            .select("EBELN", "EBELP", "ETENR", "EINDT", F.col("MENGE").alias("sched_menge")))
+    out = running_total(eket, ["EBELN", "EBELP"], [F.col("EINDT"), F.col("ETENR")], "sched_menge",
+                        "cum_sched_qty", rank="sched_rank")
+    return out.withColumn("cum_sched_qty", F.col("cum_sched_qty").cast(QTY))
+
+
+def leaf_nodes_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Level-3 nodes of the organisation tree without level-4 children."""
+    tree = _src(spark, sf_dir).table("PROFIT_CENTER_HIERARCHY")
+    return childless_nodes(tree, 3).select(F.col("CHILD").alias("node"), F.col("CHILD_DESC").alias("description"),
+                                           F.col("PARENT").alias("parent"))
+
+
+def strip_zeros_both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Material numbers with leading zeros stripped, plain and keeping one zero."""
+    mara = _src(spark, sf_dir).scoped("MARA", DRIVER_CONFIG)
+    return mara.select(F.col("MATNR").alias("material_key"), strip_leading_zeros(F.col("MATNR")).alias("stripped"),
+                       strip_leading_zeros(F.col("MATNR"), keep_zero=True).alias("stripped_keep_zero"))
+
+
+def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vendor master with a dense surrogate key in business-key order."""
+    vm = partners.vendor_master(_src(spark, sf_dir), DRIVER_CONFIG)
+    return with_surrogate_key(vm, ["vendor_account_number", "purchasing_organization"], method="dense")
+
+
+def write_mart_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full-refresh write of the vendor master to the shared scratch folder, read back."""
+    target = f"{checkpoint_dir(spark).rstrip('/')}/marts/vendor_master-{uuid.uuid4().hex}"
+    write_mart(partners.vendor_master(_src(spark, sf_dir), DRIVER_CONFIG), target, schema=partners.VENDOR_MASTER)
+    return spark.read.parquet(target)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    # purchasing
     "otd_completion": _mart(purchasing.vendor_otd),
+    "otd_status_by_vendor": otd_status_by_vendor,
+    "running_qty": running_qty,
+    "po_lines_status": _mart(purchasing.purchase_order),
+    "sto_lines_status": _mart(purchasing.stock_transfer),
+    "pr_gr_linkage": _mart(purchasing.purchase_requisition),
+    # materials
+    "inventory_union_value": _mart(materials.inventory),
+    "material_details": _mart(materials.material_details),
+    "goods_movements": _mart(materials.material_usage),
+    "last_movement": _mart(materials.material_last_movement),
+    "reservations_open": _mart(materials.material_reservation),
+    "approved_parts": _mart(materials.approved_mfg_part_list),
+    "class_cross": _mart(materials.material_class),
+    # partners
+    "vendor_preferred_contact": _mart(partners.vendor_master),
+    "affiliates_customers": _mart(partners.affiliate_customers),
+    "affiliates_vendors": _mart(partners.affiliate_vendors),
+    # bill of materials
+    "bom_dedup_layers": _mart(bom.bom_deduplicated),
+    "bom_explosion": _mart(bom.bill_of_materials),
+    # controlling
+    "hierarchy_ragged": _mart(controlling.profit_center),
+    "leaf_nodes_anti": leaf_nodes_anti,
+    "active_validity": _mart(controlling.cost_center),
+    # code and text dimensions
+    "code_lookup_required": _mart(codes.movement_type),
+    "code_lookup_default": _mart(codes.so_item_category),
+    "so_reject_codes": _mart(codes.so_reject_codes),
+    "so_document_type": _mart(codes.so_document_type),
+    "text_dim_left": _mart(codes.payment_terms),
+    "code_text_dim": _mart(codes.billing_blocks),
+    "delivery_blocks": _mart(codes.delivery_blocks),
+    "purchasing_groups": _mart(codes.purchasing_groups),
+    "plants_in_list": _mart(codes.storage_locations),
+    # column functions and sinks
+    "strip_zeros_both": strip_zeros_both,
+    "surrogate_key": surrogate_key,
+    "write_mart_roundtrip": write_mart_roundtrip,
 }

@@ -414,7 +414,7 @@ class DriverSources(Sources):
         n = n.filter((F.col("d") == 0) | (F.col("key") % 4 == F.col("d")))
         return n.select(F.lit("400").alias("MANDT"), F.lit("M").alias("STLTY"), "STLNR", "STLAL",
                         pad(F.col("node"), 8).alias("STLKN"),
-                        pick(["20190101", "20210101", "20990101"], F.col("d")).alias("DATUV"))
+                        pick(["19900101", "19950101", "20990101"], F.col("d")).alias("DATUV"))
 
     def _t_stpo(self) -> DataFrame:
         n = self._bom_nodes()
@@ -427,7 +427,7 @@ class DriverSources(Sources):
         cols = [F.lit("400").alias("MANDT"), F.lit("M").alias("STLTY"), "STLNR", pad(node, 8).alias("STLKN"),
                 pad(node, 8).alias("STPOZ"), pad(node * 10, 4).alias("POSNR"), F.lit("EA").alias("MEINS"),
                 F.lit("L").alias("POSTP"), node.cast(QTY).alias("MENGE")]
-        current = n.select(*cols, idnrk.alias("IDNRK"), F.lit("20190101").alias("DATUV"),
+        current = n.select(*cols, idnrk.alias("IDNRK"), F.lit("19900101").alias("DATUV"),
                            F.when((key % 12 == 5) & (node == 3), "X").when(node == 2, _null()).otherwise("").alias("LKENZ"))
         # A future version of node 1 for some BOMs: not valid yet, must be ignored.
         future = n.filter((node == 1) & (key % 6 == 1)).select(
