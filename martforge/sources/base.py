@@ -79,3 +79,14 @@ class ParquetSources(Sources):
 
     def _load(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}")
+
+
+class FrameSources(Sources):
+    """Tables given as DataFrames (unit tests, notebooks): ``FrameSources(spark, {"EKKO": df, ...})``."""
+
+    def __init__(self, spark: SparkSession, frames: dict[str, DataFrame]):
+        self.spark = spark
+        self.frames = {k.upper(): v for k, v in frames.items()}
+
+    def _load(self, name: str) -> DataFrame:
+        return self.frames[name]
