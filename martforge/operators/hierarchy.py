@@ -48,9 +48,19 @@ def dedup_bom(direct: DataFrame, scope: str = "bom", tiebreak: Sequence[Column]
     return df
 
 
+def prepare_edges(spark, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hash-partition the edge list on the explosion join keys and checkpoint it once.
+
+    The checkpoint keeps the partitioning, so each level's join shuffles only its frontier;
+    the edge pipeline (source dedup, four layers) runs once, not once per level.
+    """
+    checkpoint_dir(spark)
+    return edges.repartition(*keys).checkpoint(eager=True)
+
+
 def explode_hierarchy(spark, edges: DataFrame, roots: DataFrame, max_levels: int,
                       parent: str, child: str, match: Sequence[tuple[str, str]],
-                      carry: Sequence[str], path_item: str) -> DataFrame:
+                      carry: Sequence[str], path_item: str, checkpoint_every: int = 4) -> DataFrame:
     """Level-by-level explosion of parent -> child edges from ``roots`` (level-1 rows).
 
     ``roots`` carries ``top_material, top_plant, parent_material, component_material,
@@ -58,18 +68,16 @@ def explode_hierarchy(spark, edges: DataFrame, roots: DataFrame, max_levels: int
     whose ``parent`` equals the component and whose ``match`` columns equal the given
     columns of the level-k row (e.g. same plant as the top, same usage). Stops at the first
     empty level or at ``max_levels`` (so cycles end at the cap). Quantities are per parent,
-    not multiplied through levels.
+    not multiplied through levels. ``edges`` should come from ``prepare_edges``.
 
-    Each level is checkpointed to the session's reliable checkpoint folder: the plan of
-    level k stays one join deep instead of re-deriving levels 1..k-1, the emptiness test
-    reads the materialised level, and a lost executor recomputes from the last checkpoint.
-    The edges are hash-partitioned on the join keys and checkpointed once, so every level
-    only shuffles its (smaller) frontier.
+    The levels are one lazy plan (each a single join on the previous level), so all of them
+    run in one job; shuffles shared between levels are reused. Every ``checkpoint_every``
+    levels the frontier is checkpointed to the session's reliable checkpoint folder: that
+    bounds the plan depth and lineage for any cap, lets a lost executor recompute from the
+    last checkpoint, and allows the loop to stop early once a level comes out empty.
     """
     checkpoint_dir(spark)
-    edge_keys = [parent] + [e for _, e in match]
-    edges = edges.repartition(*edge_keys).checkpoint(eager=True)
-    level = roots.checkpoint(eager=True)
+    level = roots
     levels = [level]
     out_cols = level.columns
     for depth in range(2, max_levels + 1):
@@ -80,10 +88,11 @@ def explode_hierarchy(spark, edges: DataFrame, roots: DataFrame, max_levels: int
             "top_material", "top_plant", F.col("__expand").alias("parent_material"),
             F.col(child).alias("component_material"), F.lit(depth).cast("int").alias("bom_level"),
             F.concat(F.col("sort_path"), F.lit("|"), F.lpad(F.col(path_item).cast("string"), 8, "0")).alias("sort_path"),
-            *[F.col(c) for c in carry])
-        nxt = nxt.select(*out_cols).checkpoint(eager=True)
-        if nxt.isEmpty():
-            break
+            *[F.col(c) for c in carry]).select(*out_cols)
+        if checkpoint_every and (depth - 1) % checkpoint_every == 0 and depth < max_levels:
+            nxt = nxt.checkpoint(eager=True)
+            if nxt.isEmpty():
+                break
         levels.append(nxt)
         level = nxt
     return reduce(DataFrame.unionByName, levels)

@@ -20,6 +20,28 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def exact_sum(df: DataFrame, qty: str):
+    """``(summand, finish)`` for an exact sum of ``qty``.
+
+    ``sum`` over ``decimal(p, s)`` accumulates in ``decimal(p + 10, s)``; beyond 18 digits that
+    leaves Spark's 64-bit decimal path for arbitrary-precision arithmetic (about twice as
+    slow). For a decimal with at most 18 digits the sum runs over the unscaled 64-bit values
+    instead - still exact; an overflow (beyond 9.2e18 units of the last digit) raises under
+    ANSI mode rather than wrapping - and ``finish`` rescales to ``decimal(p + 10, s)``.
+    """
+    dtype = df.schema[qty].dataType
+    if isinstance(dtype, T.DecimalType) and dtype.precision <= 18:
+        scale, precision = dtype.scale, min(dtype.precision + 10, 38)
+        unscaled = (F.col(qty) * F.lit(10 ** scale)).cast("long")
+
+        def finish(c: Column) -> Column:
+            return (c.cast(f"decimal({precision},0)") / F.lit(10 ** scale)).cast(f"decimal({precision},{scale})")
+
+        return unscaled, finish
+    return F.col(qty), (lambda c: c)
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[Column], qty: str,
@@ -29,7 +51,8 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[Column], q
     Both share one window spec, so Spark plans one exchange, one sort and one Window operator.
     """
     w = Window.partitionBy(*keys).orderBy(*order)
-    df = df.withColumn(out, F.sum(qty).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    summand, finish = exact_sum(df, qty)
+    df = df.withColumn(out, finish(F.sum(summand).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
     if rank:
         df = df.withColumn(rank, F.row_number().over(w))
     return df

@@ -12,6 +12,7 @@ The same shapes are written independently in SQL for DuckDB in ``oracle/shapes.p
 
 from __future__ import annotations
 
+import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -82,7 +83,18 @@ class DriverSources(Sources):
         self.sf_dir = sf_dir.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A driver table. Each is one parquet file, sometimes a single row group, which plans
+        as one scan task; such a scan is spread round-robin over the session's parallelism so
+        the shaping work does not run in one task. (Planning only: no job is started.)"""
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name in self.SPREAD_TABLES and os.environ.get("MARTFORGE_NO_SPREAD") is None:
+            want = self.spark.sparkContext.defaultParallelism
+            if df.rdd.getNumPartitions() < want:
+                df = df.repartition(want)
+        return df
+
+    # Tables large enough to be worth spreading; dimension-sized ones stay single-task.
+    SPREAD_TABLES = ("lineitem", "orders", "part", "customer")
 
     def _load(self, name: str) -> DataFrame:
         builder = getattr(self, f"_t_{name.lower()}", None)
@@ -247,7 +259,9 @@ class DriverSources(Sources):
         k, line = F.col("l_orderkey"), F.col("l_linenumber")
         g = li.groupBy("l_orderkey", "l_linenumber").agg(
             F.max("l_partkey").alias("pk"), F.max("l_suppkey").alias("sk"), F.min("l_suppkey").alias("sk_min"),
-            F.sum(F.col("l_quantity").cast(QTY)).cast(QTY).alias("MENGE"),
+            # Exact decimal(13,3) sum over unscaled 64-bit values (see operators.matching.exact_sum).
+            (F.sum((F.col("l_quantity").cast(QTY) * 1000).cast("long")).cast("decimal(23,0)") / 1000)
+            .cast(QTY).alias("MENGE"),
             F.max("l_extendedprice").cast(PRICE).alias("NETPR"), F.max("l_linestatus").alias("status"))
         return g.select(
             F.lit("400").alias("MANDT"), eb(k).alias("EBELN"), pad(line * 10, 5).alias("EBELP"),
@@ -263,21 +277,18 @@ class DriverSources(Sources):
         )
 
     @staticmethod
-    def _line_order():
-        return [F.col(c) for c in ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-                                   "l_discount", "l_tax", "l_returnflag", "l_linestatus")]
+    def _line_counter() -> Column:
+        """Counter of a line within (order, line number): (part, supplier) is unique there."""
+        return pad(F.col("l_partkey") * 100000 + F.col("l_suppkey"), 12)
 
     def _t_eket(self) -> DataFrame:
-        from pyspark.sql import Window
-
         li = self.raw("lineitem").join(self.raw("orders").select("o_orderkey", "o_orderdate"),
                                        F.col("l_orderkey") == F.col("o_orderkey"))
-        w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*self._line_order())
         k, flag = F.col("l_orderkey"), F.col("l_returnflag")
         q = F.col("l_quantity").cast(QTY)
         return li.select(
             F.lit("400").alias("MANDT"), eb(k).alias("EBELN"), pad(F.col("l_linenumber") * 10, 5).alias("EBELP"),
-            pad(F.row_number().over(w), 4).alias("ETENR"),
+            self._line_counter().alias("ETENR"),
             d8(F.col("o_orderdate"), 60).alias("EINDT"), d8(F.col("o_orderdate"), 55).alias("SLFDT"),
             q.alias("MENGE"),
             F.when(flag == "R", q).when(flag == "A", F.lit(1).cast(QTY)).otherwise(F.lit(0).cast(QTY)).alias("WEMNG"),
@@ -285,17 +296,14 @@ class DriverSources(Sources):
         )
 
     def _t_ekbe(self) -> DataFrame:
-        from pyspark.sql import Window
-
         li = self.raw("lineitem").filter(F.col("l_returnflag") != "N")
-        w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*self._line_order())
         return li.select(
             F.lit("400").alias("MANDT"), eb(F.col("l_orderkey")).alias("EBELN"),
             pad(F.col("l_linenumber") * 10, 5).alias("EBELP"),
             F.when(F.col("l_partkey") % 13 == 0, "Q").otherwise("E").alias("BEWTP"),
             F.when(F.col("l_suppkey") % 11 == 0, "H").otherwise("S").alias("SHKZG"),
             pad(F.col("l_partkey") * 1000 + F.col("l_suppkey"), 10).alias("BELNR"),
-            pad(F.row_number().over(w), 4).alias("BUZEI"),
+            self._line_counter().alias("BUZEI"),
             d8(F.col("l_shipdate")).alias("BUDAT"), F.col("l_quantity").cast(QTY).alias("MENGE"),
         )
 

@@ -2,7 +2,9 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from martforge.operators.hierarchy import childless_nodes, dedup_bom, explode_hierarchy, ragged_hierarchy
+from martforge.operators.hierarchy import (
+    childless_nodes, dedup_bom, explode_hierarchy, prepare_edges, ragged_hierarchy,
+)
 from martforge.operators.select import keep_min, latest_per_key
 from martforge.plans.bom import EXPLOSION_CARRY, dedup_tiebreak
 
@@ -19,6 +21,7 @@ def direct_row(parent, comp, item="0010", plant="1001", usage="1", bom=None, alt
 
 def explode(spark, rows, max_levels=10):
     edges = spark.createDataFrame(rows, DIRECT).select("parent_matnr", "component_matnr", *EXPLOSION_CARRY)
+    edges = prepare_edges(spark, edges, ["parent_matnr", "plant", "bom_usage"])
     roots = edges.select(
         F.col("parent_matnr").alias("top_material"), F.col("plant").alias("top_plant"),
         F.col("parent_matnr").alias("parent_material"), F.col("component_matnr").alias("component_material"),
