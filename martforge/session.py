@@ -20,6 +20,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .getOrCreate()
     )
 

@@ -75,26 +75,41 @@ def _client(df: DataFrame, client: str = "400", column: str = "MANDT") -> DataFr
     return df.withColumn(column, F.lit(client))
 
 
+# Shaped-table plans per (session, folder, table). A DataFrame is an immutable plan, so one
+# built plan serves every query of the session; nothing is cached on the data side.
+_PLANS: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class DriverSources(Sources):
     """``Sources`` over the driver tables in ``sf_dir`` (``<sf_dir>/<table>.parquet``)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._session = spark._jsparkSession.sessionUUID()
+
+    def table(self, name: str) -> DataFrame:
+        key = (self._session, self.sf_dir, name.upper())
+        df = _PLANS.get(key)
+        if df is None:
+            df = _PLANS[key] = self._load(name.upper())
+        return df
 
     def raw(self, name: str) -> DataFrame:
         """A driver table. Each is one parquet file, sometimes a single row group, which plans
         as one scan task; such a scan is spread round-robin over the session's parallelism so
-        the shaping work does not run in one task. (Planning only: no job is started.)"""
+        the shaping work does not run in one task. The spread hashes the table's key (no
+        sort, deterministic on retry). (Planning only: no job is started.)"""
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        if name in self.SPREAD_TABLES and os.environ.get("MARTFORGE_NO_SPREAD") is None:
+        key = self.SPREAD_KEYS.get(name)
+        if key and os.environ.get("MARTFORGE_NO_SPREAD") is None:
             want = self.spark.sparkContext.defaultParallelism
             if df.rdd.getNumPartitions() < want:
-                df = df.repartition(want)
+                df = df.repartition(want, key)
         return df
 
-    # Tables large enough to be worth spreading; dimension-sized ones stay single-task.
-    SPREAD_TABLES = ("lineitem", "orders", "part", "customer")
+    # Tables large enough to be worth spreading, by key; dimension-sized ones stay as read.
+    SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "part": "p_partkey", "customer": "c_custkey"}
 
     def _load(self, name: str) -> DataFrame:
         builder = getattr(self, f"_t_{name.lower()}", None)
