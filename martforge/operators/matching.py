@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martforge.operators.skew import has_rows, hot_keys, segmented_prefix, split_hot
+
 
 def exact_sum(df: DataFrame, qty: str):
     """``(summand, finish)`` for an exact sum of ``qty``.
@@ -45,17 +47,35 @@ def exact_sum(df: DataFrame, qty: str):
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[Column], qty: str,
-                  out: str, rank: str | None = None) -> DataFrame:
+                  out: str, rank: str | None = None, hot_threshold: int | None = None) -> DataFrame:
     """Add ``out`` = running sum of ``qty`` (rows frame) and optionally ``rank`` = row_number.
 
     Both share one window spec, so Spark plans one exchange, one sort and one Window operator.
+    With ``hot_threshold``, groups above that many rows take the segmented scan of
+    ``operators.skew`` instead of a single-task window; ``order`` must be total per group.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
     summand, finish = exact_sum(df, qty)
-    df = df.withColumn(out, finish(F.sum(summand).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    if rank:
-        df = df.withColumn(rank, F.row_number().over(w))
-    return df
+
+    def by_window(d: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        d = d.withColumn(out, finish(F.sum(summand).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+        if rank:
+            d = d.withColumn(rank, F.row_number().over(w))
+        return d
+
+    if hot_threshold is None:
+        return by_window(df)
+    hot_list = hot_keys(df, keys, hot_threshold)
+    if not has_rows(hot_list):
+        return by_window(df)
+    normal, hot = split_hot(df, hot_list, keys)
+    return by_window(normal).unionByName(_running_segmented(hot, keys, order, summand, finish, out, rank))
+
+
+def _running_segmented(df, keys, order, summand, finish, out, rank):
+    specs = [(out, "sum", summand)] + ([(rank, "sum", F.lit(1))] if rank else [])
+    d = segmented_prefix(df, keys, order, specs).withColumn(out, finish(F.col(out)))
+    return d.withColumn(rank, F.col(rank).cast("int")) if rank else d
 
 
 def _null_struct(df: DataFrame, cols: Sequence[str]) -> Column:
@@ -68,33 +88,59 @@ def completion_match(sched: DataFrame, receipts: DataFrame, keys: Sequence[str],
                      receipt_order: Sequence[Column], receipt_qty: str,
                      receipt_cols: Sequence[str],
                      sched_rank: str = "sched_rank", cum_sched: str = "cum_sched_qty",
-                     gr_rank: str = "gr_rank", cum_gr: str = "cum_gr_qty") -> DataFrame:
+                     gr_rank: str = "gr_rank", cum_gr: str = "cum_gr_qty",
+                     hot_threshold: int | None = None) -> DataFrame:
     """Schedule lines (all columns + ``sched_rank``, ``cum_sched``) with the completing receipt's
     ``gr_rank``, ``cum_gr`` and ``receipt_cols`` (NULL when not yet completed).
 
     A NULL running requirement never completes; receipts with a NULL running quantity
-    never complete anything; equal quantities complete (``>=``).
+    never complete anything; equal quantities complete (``>=``). Both orders must be total
+    within a group. With ``hot_threshold``, groups with more schedule lines plus receipts
+    than that are matched by segmented scans (``operators.skew``) instead of one window task
+    per group; the other groups keep the single-shuffle window plan.
     """
     keys = list(keys)
-    s = running_total(sched, keys, sched_order, sched_qty, cum_sched, rank=sched_rank)
-    r = running_total(receipts, keys, receipt_order, receipt_qty, cum_gr, rank=gr_rank)
+    names = dict(sched_rank=sched_rank, cum_sched=cum_sched, gr_rank=gr_rank, cum_gr=cum_gr)
+    hot = None if hot_threshold is None else hot_keys(
+        sched.select(*keys).unionByName(receipts.select(*keys)), keys, hot_threshold)
+    if hot is None or not has_rows(hot):
+        return _match(sched, receipts, keys, sched_order, sched_qty, receipt_order, receipt_qty, receipt_cols,
+                      segmented=False, **names)
+    s_norm, s_hot = split_hot(sched, hot, keys)
+    r_norm, r_hot = split_hot(receipts, hot, keys)
+    normal = _match(s_norm, r_norm, keys, sched_order, sched_qty, receipt_order, receipt_qty, receipt_cols,
+                    segmented=False, **names)
+    heavy = _match(s_hot, r_hot, keys, sched_order, sched_qty, receipt_order, receipt_qty, receipt_cols,
+                   segmented=True, **names)
+    return normal.unionByName(heavy)
+
+
+def _match(sched, receipts, keys, sched_order, sched_qty, receipt_order, receipt_qty, receipt_cols, segmented,
+           sched_rank, cum_sched, gr_rank, cum_gr) -> DataFrame:
+    if segmented:
+        s_sum, s_fin = exact_sum(sched, sched_qty)
+        r_sum, r_fin = exact_sum(receipts, receipt_qty)
+        s = _running_segmented(sched, keys, sched_order, s_sum, s_fin, cum_sched, sched_rank)
+        r = _running_segmented(receipts, keys, receipt_order, r_sum, r_fin, cum_gr, gr_rank)
+    else:
+        s = running_total(sched, keys, sched_order, sched_qty, cum_sched, rank=sched_rank)
+        r = running_total(receipts, keys, receipt_order, receipt_qty, cum_gr, rank=gr_rank)
     r = r.filter(F.col(cum_gr).isNotNull())
 
     s_cols = [c for c in s.columns if c not in keys]
     g_cols = [gr_rank, cum_gr, *receipt_cols]
-    s_struct_null = _null_struct(s, s_cols)
-    g_struct_null = _null_struct(r, g_cols)
-
     events = s.select(*keys, F.col(cum_sched).alias("__cum"), F.lit(1).alias("__kind"),
-                      F.struct(*s_cols).alias("__s"), g_struct_null.alias("__g")).unionByName(
+                      F.struct(*s_cols).alias("__s"), _null_struct(r, g_cols).alias("__g")).unionByName(
         r.select(*keys, F.col(cum_gr).alias("__cum"), F.lit(0).alias("__kind"),
-                 s_struct_null.alias("__s"), F.struct(*g_cols).alias("__g")))
-
-    w = (Window.partitionBy(*keys)
-         .orderBy(F.col("__cum").desc_nulls_last(), F.col("__kind").asc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    best = F.min("__g").over(w)
-    matched = (events.withColumn("__best", F.when(F.col("__cum").isNotNull(), best))
+                 _null_struct(s, s_cols).alias("__s"), F.struct(*g_cols).alias("__g")))
+
+    order = [F.col("__cum").desc_nulls_last(), F.col("__kind").asc()]
+    if segmented:
+        events = segmented_prefix(events, keys, order, [("__run", "min", F.col("__g"))])
+    else:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        events = events.withColumn("__run", F.min("__g").over(w))
+    matched = (events.withColumn("__best", F.when(F.col("__cum").isNotNull(), F.col("__run")))
                .filter(F.col("__kind") == 1))
     return matched.select(*keys, *[F.col("__s")[c].alias(c) for c in s_cols],
                           *[F.col("__best")[c].alias(c) for c in g_cols])

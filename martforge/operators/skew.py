@@ -1,0 +1,98 @@
+"""Hot-group handling for ordered per-group scans (running sums, running minimum, row numbers).
+
+A window ``PARTITION BY key ORDER BY o`` sends each group to one task. When one key holds a
+large share of the rows (one purchase-order item with a third of all schedule lines), that
+task does a third of the job alone. The operators here keep normal groups on the one-shuffle
+window path and give hot groups a segmented scan:
+
+1. ``repartitionByRange(n, key, o)`` samples the sort key and cuts the data into ``n``
+   contiguous slices, so a hot group is spread over many partitions, in order;
+2. inside each slice a window ``PARTITION BY key, segment ORDER BY o`` computes the local
+   prefix (a (key, segment) group is at most one slice);
+3. per (key, segment) totals - at most ``n`` rows per key - are scanned in segment order to
+   give each segment the aggregate of the earlier ones (its carry), which is joined back
+   and combined with the local prefix.
+
+Hot keys are found by a partial/final count per key; only keys above ``threshold`` rows
+qualify, so there are at most ``rows / threshold`` of them - a proven bound that makes the
+broadcast of the key list safe. ``has_rows`` asks for at most one row of that list, so the
+common case (no hot group) keeps the plain window plan and pays one small aggregation job.
+
+The segment id of a row must be the same in the two uses of the segmented rows (local
+prefix, per-segment totals); a range exchange planned twice would sample its bounds twice.
+The segmented rows are therefore checkpointed once to the session's reliable checkpoint
+folder (hot rows only), and both uses read that copy.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+DEFAULT_HOT_GROUP_ROWS = 1_000_000
+
+
+def has_rows(df: DataFrame) -> bool:
+    """True when ``df`` has a row (fetches at most one)."""
+    return not df.isEmpty()
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int) -> DataFrame:
+    """Keys with more than ``threshold`` rows (at most ``count(df) / threshold`` of them)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > threshold).select(*keys)
+
+
+def _match(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [df[k].eqNullSafe(hot[k]) for k in keys])
+
+
+def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows of normal groups, rows of hot groups); ``hot`` is broadcast (bounded, see module)."""
+    hot = F.broadcast(hot)
+    return df.join(hot, _match(df, hot, keys), "left_anti"), df.join(hot, _match(df, hot, keys), "left_semi")
+
+
+_LOCAL = {"sum": F.sum, "min": F.min, "max": F.max}
+
+
+def _combine(op: str, carry: Column, local: Column) -> Column:
+    if op == "min":
+        return F.least(carry, local)
+    if op == "max":
+        return F.greatest(carry, local)
+    # sum: NULL only when every value so far is NULL (SQL running-sum semantics)
+    return F.when(carry.isNull(), local).when(local.isNull(), carry).otherwise(carry + local)
+
+
+def segmented_prefix(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
+                     specs: Sequence[tuple[str, str, Column]], segments: int | None = None) -> DataFrame:
+    """Running aggregates per group over ``order`` (rows frame, unbounded preceding to current).
+
+    ``specs`` are ``(output column, op, expression)`` with op ``sum``, ``min`` or ``max``
+    (a row number is ``sum`` of 1). ``order`` must be total within a group for ``sum``.
+    """
+    keys = list(keys)
+    n = segments or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    from martforge.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    x = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order).withColumn("__seg", F.spark_partition_id())
+         .checkpoint(eager=True))
+    w = Window.partitionBy(*keys, "__seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for out, op, expr in specs:
+        x = x.withColumn(f"__loc_{out}", _LOCAL[op](expr).over(w))
+    totals = x.groupBy(*keys, "__seg").agg(*[_LOCAL[op](expr).alias(f"__tot_{out}") for out, op, expr in specs])
+    before = Window.partitionBy(*keys).orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*[F.col(k).alias(f"__ck_{k}") for k in keys], F.col("__seg").alias("__ck_seg"),
+                          *[_LOCAL[op](f"__tot_{out}").over(before).alias(f"__carry_{out}") for out, op, _ in specs])
+    cond = reduce(lambda a, b: a & b, [x[k].eqNullSafe(carry[f"__ck_{k}"]) for k in keys]) & (
+        x["__seg"] == carry["__ck_seg"])
+    y = x.join(carry, cond, "left")
+    for out, op, _ in specs:
+        y = y.withColumn(out, _combine(op, F.col(f"__carry_{out}"), F.col(f"__loc_{out}")))
+    drop = ["__seg", "__ck_seg", *[f"__ck_{k}" for k in keys]]
+    drop += [c for out, _, _ in specs for c in (f"__loc_{out}", f"__carry_{out}")]
+    return y.drop(*drop)

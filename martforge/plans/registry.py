@@ -67,7 +67,7 @@ def running_qty(spark: SparkSession, sf_dir: str) -> DataFrame:
     eket = (_src(spark, sf_dir).scoped("EKET", cfg).filter(in_doc_range(cfg.po_range))
             .select("EBELN", "EBELP", "ETENR", "EINDT", F.col("MENGE").alias("sched_menge")))
     out = running_total(eket, ["EBELN", "EBELP"], [F.col("EINDT"), F.col("ETENR")], "sched_menge",
-                        "cum_sched_qty", rank="sched_rank")
+                        "cum_sched_qty", rank="sched_rank", hot_threshold=cfg.hot_group_rows)
     return out.withColumn("cum_sched_qty", F.col("cum_sched_qty").cast(QTY))
 
 

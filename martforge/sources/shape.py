@@ -293,8 +293,8 @@ class DriverSources(Sources):
 
     @staticmethod
     def _line_counter() -> Column:
-        """Counter of a line within (order, line number): (part, supplier) is unique there."""
-        return pad(F.col("l_partkey") * 100000 + F.col("l_suppkey"), 12)
+        """Counter of a line within (order, line number): (part, supplier, ship date) is unique there."""
+        return F.concat(pad(F.col("l_partkey") * 100000 + F.col("l_suppkey"), 12), d8(F.col("l_shipdate")))
 
     def _t_eket(self) -> DataFrame:
         li = self.raw("lineitem").join(self.raw("orders").select("o_orderkey", "o_orderdate"),

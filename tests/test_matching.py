@@ -91,3 +91,34 @@ def test_running_total_shares_one_window(spark):
         ("a", 1, 5, 1), ("a", 2, 12, 2), ("b", 1, 1, 1)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_hot_groups_take_segmented_path_with_same_result(spark):
+    rnd = random.Random(11)
+    sched, gr = [], []
+    for g, (ns, nr) in enumerate([(400, 500), (3, 4), (0, 5), (6, 0), (250, 180)]):
+        item = f"I{g}"
+        for i in range(ns):
+            sched.append((item, f"2024{rnd.randint(1, 9):02d}{rnd.randint(10, 28)}", f"{i:05d}",
+                          D(rnd.choice([None, 0, 1, 2, 3, 5]))))
+        for i in range(nr):
+            gr.append((item, f"2024{rnd.randint(1, 9):02d}{rnd.randint(10, 28)}", f"G{i:05d}",
+                       D(rnd.choice([None, 0, 1, 2, 4]))))
+    s = spark.createDataFrame(sched, SCHED).repartition(3)
+    r = spark.createDataFrame(gr, GR).repartition(3)
+    args = (["item"], [F.col("due"), F.col("line")], "qty", [F.col("posted"), F.col("doc")], "qty", ["doc"])
+    plain = completion_match(s, r, *args)
+    split = completion_match(s, r, *args, hot_threshold=50)
+    cols = ["item", "line", "sched_rank", "cum_sched_qty", "gr_rank", "cum_gr_qty", "doc"]
+    a = sorted(tuple(x) for x in plain.select(*cols).collect())
+    b = sorted(tuple(x) for x in split.select(*cols).collect())
+    assert len(a) == len(sched) and a == b
+    assert "__seg" in split._jdf.queryExecution().executedPlan().toString()  # segmented path taken
+
+
+def test_running_total_hot_path(spark):
+    df = spark.range(0, 5000).select((F.col("id") % 3).alias("k"), F.col("id").alias("o"),
+                                      (F.col("id") % 7).cast("decimal(13,3)").alias("q"))
+    a = running_total(df, ["k"], [F.col("o")], "q", "cum", rank="rk")
+    b = running_total(df, ["k"], [F.col("o")], "q", "cum", rank="rk", hot_threshold=100)
+    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
