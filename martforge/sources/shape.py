@@ -109,7 +109,7 @@ class DriverSources(Sources):
         return df
 
     # Tables large enough to be worth spreading, by key; dimension-sized ones stay as read.
-    SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "part": "p_partkey", "customer": "c_custkey"}
+    SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
 
     def _load(self, name: str) -> DataFrame:
         builder = getattr(self, f"_t_{name.lower()}", None)

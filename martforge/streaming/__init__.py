@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+Every mart is a batch full refresh: the reports have no stream source, event-time window,
+watermark or per-key state, so nothing here would mirror existing behaviour. A scheduled
+``martforge.plans.catalog.refresh_marts`` (or ``python -m martforge``) is the refresh path.
+"""
