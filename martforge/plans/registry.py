@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from martforge.config import MartConfig
 from martforge.functions.columns import strip_leading_zeros
 from martforge.operators.hierarchy import childless_nodes
-from martforge.operators.matching import running_total
+from martforge.operators.matching import completion_match, running_total
 from martforge.operators.purchasing import in_doc_range
 from martforge.plans import bom, codes, controlling, materials, partners, purchasing
 from martforge.session import checkpoint_dir
@@ -71,6 +71,40 @@ def running_qty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("cum_sched_qty", F.col("cum_sched_qty").cast(QTY))
 
 
+def _completion_on_items(spark: SparkSession, sf_dir: str, item_cols) -> DataFrame:
+    """Cumulative completion matching with larger items than purchase-order lines.
+
+    Every line item is a schedule line of its item (due at the ship date, quantity as
+    ordered); every line item not flagged 'N' is also a receipt 7 days after shipping.
+    Orders are total: (date, order, line number, part).
+    """
+    li = _src(spark, sf_dir).raw("lineitem")
+    base = li.select(*[c.alias(f"item_{i}") for i, c in enumerate(item_cols)],
+                     F.col("l_orderkey").alias("ord"), F.col("l_linenumber").alias("line"),
+                     F.col("l_partkey").alias("part"), F.col("l_shipdate").cast("date").alias("due"),
+                     F.col("l_quantity").cast(QTY).alias("qty"), F.col("l_returnflag").alias("flag"))
+    keys = [f"item_{i}" for i in range(len(item_cols))]
+    sched = base.select(*keys, "ord", "line", "part", "due", "qty")
+    receipts = base.filter(F.col("flag") != "N").select(
+        *keys, F.col("ord").alias("r_ord"), F.col("line").alias("r_line"), F.col("part").alias("r_part"),
+        F.date_add("due", 7).alias("received"), F.col("qty").alias("r_qty"))
+    out = completion_match(sched, receipts, keys, [F.col("due"), F.col("ord"), F.col("line"), F.col("part")], "qty",
+                           [F.col("received"), F.col("r_ord"), F.col("r_line"), F.col("r_part")], "r_qty",
+                           ["received", "r_ord", "r_line"], hot_threshold=DRIVER_CONFIG.hot_group_rows)
+    return out.select(*keys, "ord", "line", "part", "sched_rank", F.col("cum_sched_qty").cast(QTY).alias("cum_sched_qty"),
+                      "gr_rank", F.col("cum_gr_qty").cast(QTY).alias("cum_gr_qty"), "received", "r_ord", "r_line")
+
+
+def completion_dense_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completion matching with items (supplier, part % 20): about 30 lines per item."""
+    return _completion_on_items(spark, sf_dir, [F.col("l_suppkey"), F.col("l_partkey") % 20])
+
+
+def completion_supplier_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completion matching with one item per supplier: about 600 lines per item."""
+    return _completion_on_items(spark, sf_dir, [F.col("l_suppkey")])
+
+
 def leaf_nodes_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Level-3 nodes of the organisation tree without level-4 children."""
     tree = _src(spark, sf_dir).table("PROFIT_CENTER_HIERARCHY")
@@ -103,6 +137,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "otd_completion": _mart(purchasing.vendor_otd),
     "otd_status_by_vendor": otd_status_by_vendor,
     "running_qty": running_qty,
+    "completion_dense_items": completion_dense_items,
+    "completion_supplier_items": completion_supplier_items,
     "po_lines_status": _mart(purchasing.purchase_order),
     "sto_lines_status": _mart(purchasing.stock_transfer),
     "pr_gr_linkage": _mart(purchasing.purchase_requisition),

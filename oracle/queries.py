@@ -505,3 +505,38 @@ WHERE MANDT = '400' AND WERKS IN ('4002', '4019', '4020', '4021', '4022')""")
 SQL["strip_zeros_both"] = with_shapes(["MARA"], f"""
 SELECT MATNR AS material_key, {STRIP('MATNR')} AS stripped, {STRIP_KEEP0('MATNR')} AS stripped_keep_zero
 FROM MARA WHERE MANDT = '400'""")
+
+
+# ----------------------------------------------------------------------------- completion on larger items
+def _completion_items(item_exprs):
+    items = ", ".join(f"{e} AS item_{i}" for i, e in enumerate(item_exprs))
+    keys = ", ".join(f"item_{i}" for i in range(len(item_exprs)))
+    on = " AND ".join(f"r.item_{i} = s.item_{i}" for i in range(len(item_exprs)))
+    return f"""
+WITH base AS (
+  SELECT {items}, l_orderkey AS ord, l_linenumber AS line, l_partkey AS part, cast(l_shipdate AS date) AS due,
+    cast(l_quantity AS decimal(13,3)) AS qty, l_returnflag AS flag FROM lineitem),
+s AS (
+  SELECT {keys}, ord, line, part,
+    cast(row_number() OVER (PARTITION BY {keys} ORDER BY due, ord, line, part) AS integer) AS sched_rank,
+    sum(qty) OVER (PARTITION BY {keys} ORDER BY due, ord, line, part
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_sched_qty
+  FROM base),
+r AS (
+  SELECT {keys}, ord AS r_ord, line AS r_line, due + 7 AS received,
+    cast(row_number() OVER (PARTITION BY {keys} ORDER BY due + 7, ord, line, part) AS integer) AS gr_rank,
+    sum(qty) OVER (PARTITION BY {keys} ORDER BY due + 7, ord, line, part
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_gr_qty
+  FROM base WHERE flag <> 'N'),
+m AS (
+  SELECT s.*, r.gr_rank, r.cum_gr_qty, r.received, r.r_ord, r.r_line,
+    row_number() OVER (PARTITION BY {", ".join(f"s.item_{i}" for i in range(len(item_exprs)))}, s.sched_rank
+                       ORDER BY r.gr_rank ASC NULLS LAST) AS rn
+  FROM s LEFT JOIN r ON {on} AND r.cum_gr_qty >= s.cum_sched_qty)
+SELECT {keys}, ord, line, part, sched_rank, cast(cum_sched_qty AS decimal(18,3)) AS cum_sched_qty, gr_rank,
+  cast(cum_gr_qty AS decimal(18,3)) AS cum_gr_qty, received, r_ord, r_line
+FROM m WHERE rn = 1"""
+
+
+SQL["completion_dense_items"] = _completion_items(["l_suppkey", "l_partkey % 20"])
+SQL["completion_supplier_items"] = _completion_items(["l_suppkey"])
