@@ -105,6 +105,13 @@ def completion_supplier_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _completion_on_items(spark, sf_dir, [F.col("l_suppkey")])
 
 
+def bom_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multi-level explosion aggregated by level: rows and summed per-parent quantity."""
+    exploded = bom.bill_of_materials(_src(spark, sf_dir), DRIVER_CONFIG, sort_output=False)
+    return exploded.groupBy("bom_level").agg(F.count(F.lit(1)).alias("rows"),
+                                             F.sum("qty").cast("decimal(18,3)").alias("qty"))
+
+
 def leaf_nodes_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Level-3 nodes of the organisation tree without level-4 children."""
     tree = _src(spark, sf_dir).table("PROFIT_CENTER_HIERARCHY")
@@ -157,6 +164,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # bill of materials
     "bom_dedup_layers": _mart(bom.bom_deduplicated),
     "bom_explosion": _mart(bom.bill_of_materials),
+    "bom_levels": bom_levels,
     # controlling
     "hierarchy_ragged": _mart(controlling.profit_center),
     "leaf_nodes_anti": leaf_nodes_anti,

@@ -540,3 +540,7 @@ FROM m WHERE rn = 1"""
 
 SQL["completion_dense_items"] = _completion_items(["l_suppkey", "l_partkey % 20"])
 SQL["completion_supplier_items"] = _completion_items(["l_suppkey"])
+
+SQL["bom_levels"] = f"""SELECT cast(bom_level AS integer) AS bom_level, count(*) AS rows,
+  cast(sum(qty) AS decimal(18,3)) AS qty
+FROM ({SQL["bom_explosion"]}) x GROUP BY bom_level"""

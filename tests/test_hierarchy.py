@@ -100,3 +100,20 @@ def test_latest_per_key_total_order_and_keep_min(spark):
     alts = spark.createDataFrame([("p", "2", 1), ("p", "1", 2), ("p", "1", 3), (None, "3", 4), (None, "3", 5)],
                                  "k string, alt string, id int")
     assert sorted(r.id for r in keep_min(alts, ["k"], "alt").collect()) == [2, 3, 4, 5]
+
+
+def test_enrich_checks_dimension_keys(spark):
+    import pytest
+
+    from martforge.operators.combine import StackSpec, enrich, stack_sources
+
+    fact = spark.createDataFrame([("m1", 1), ("m2", 2)], "MATNR string, q int")
+    good = spark.createDataFrame([("m1", "Bolt")], "MATNR string, MAKTX string")
+    bad = spark.createDataFrame([("m1", "Bolt"), ("m1", "Nut")], "MATNR string, MAKTX string")
+    assert sorted(tuple(r) for r in enrich(fact, good, "MATNR", check_unique=["MATNR"]).collect()) == [
+        ("m1", 1, "Bolt"), ("m2", 2, None)]
+    with pytest.raises(ValueError):
+        enrich(fact, bad, "MATNR", check_unique=["MATNR"])
+    stacked = stack_sources([StackSpec(fact, {"k": F.col("MATNR"), "kind": F.lit("A")}),
+                             StackSpec(good, {"k": F.col("MATNR"), "kind": F.lit("B")})])
+    assert sorted(tuple(r) for r in stacked.collect()) == [("m1", "A"), ("m1", "B"), ("m2", "A")]
