@@ -37,6 +37,8 @@ class MartConfig:
     # "bom" keeps the reference's layer scope (partition by BOM number only);
     # "bom_plant" adds the plant and parent to layers 2-4.
     bom_dedup_scope: str = "bom"
+    # Checkpoint the explosion frontier every this many levels (0: only the edge list).
+    bom_checkpoint_every: int = 4
     # Company-specific affiliate detection: substrings of the upper-cased name and
     # account -> site label maps. Supplied by the deployment; defaults are synthetic.
     customer_name_patterns: tuple[str, ...] = ()

@@ -42,7 +42,7 @@ DRIVER_CONFIG = MartConfig(
 
 
 def _src(spark: SparkSession, sf_dir: str) -> Sources:
-    return DriverSources(spark, sf_dir)
+    return DriverSources(spark, sf_dir, stage=True)
 
 
 def _mart(build) -> Callable[[SparkSession, str], DataFrame]:

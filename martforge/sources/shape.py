@@ -75,24 +75,40 @@ def _client(df: DataFrame, client: str = "400", column: str = "MANDT") -> DataFr
     return df.withColumn(column, F.lit(client))
 
 
-# Shaped-table plans per (session, folder, table). A DataFrame is an immutable plan, so one
-# built plan serves every query of the session; nothing is cached on the data side.
-_PLANS: dict[tuple[str, str, str], DataFrame] = {}
+# Shaped tables per (session, folder, table, staged).
+_PLANS: dict[tuple[str, str, str, bool], DataFrame] = {}
 
 
 class DriverSources(Sources):
-    """``Sources`` over the driver tables in ``sf_dir`` (``<sf_dir>/<table>.parquet``)."""
+    """``Sources`` over the driver tables in ``sf_dir`` (``<sf_dir>/<table>.parquet``).
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    With ``stage=True`` each ERP-shaped table is derived once per session and written as
+    parquet under the session's checkpoint folder (a staging layer, as the raw ERP tables
+    are stored tables in production); queries then scan the staged copy. The first query
+    that needs a table pays for its derivation. With ``stage=False`` every query derives
+    the tables from the driver tables inside its own plan.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, stage: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.stage = stage
         self._session = spark._jsparkSession.sessionUUID()
 
     def table(self, name: str) -> DataFrame:
-        key = (self._session, self.sf_dir, name.upper())
+        name = name.upper()
+        key = (self._session, self.sf_dir, name, self.stage)
         df = _PLANS.get(key)
         if df is None:
-            df = _PLANS[key] = self._load(name.upper())
+            df = self._load(name)
+            if self.stage:
+                from martforge.session import checkpoint_dir
+
+                folder = f"sf-{abs(hash(self.sf_dir)) % 10**12}"
+                path = f"{checkpoint_dir(self.spark).rstrip('/')}/staged/{self._session}/{folder}/{name}"
+                df.write.mode("overwrite").parquet(path)
+                df = self.spark.read.parquet(path)
+            _PLANS[key] = df
         return df
 
     def raw(self, name: str) -> DataFrame:

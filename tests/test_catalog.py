@@ -32,3 +32,14 @@ def test_create_tables_with_comments(spark):
                   as_tables=True)
     assert spark.table(f"{db}.billing_blocks").count() > 0
     spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def test_bom_sorted_listing(spark):
+    from martforge.plans import bom
+
+    src = DriverSources(spark, SF)
+    plain = bom.bill_of_materials(src, DRIVER_CONFIG)
+    listing = bom.bill_of_materials(src, DRIVER_CONFIG, sort_output=True).collect()
+    assert sorted(map(tuple, listing), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    tops = [(r.top_material, r.top_plant) for r in listing]
+    assert tops == sorted(tops)
