@@ -13,9 +13,9 @@ window path and give hot groups a segmented scan:
    give each segment the aggregate of the earlier ones (its carry), which is joined back
    and combined with the local prefix.
 
-Hot keys are found by a partial/final count per key; only keys above ``threshold`` rows
-qualify, so there are at most ``rows / threshold`` of them - a proven bound that makes the
-broadcast of the key list safe. ``has_rows`` asks for at most one row of that list, so the
+Hot keys are found by sampling for candidates and counting the candidates exactly; only
+keys above ``threshold`` rows qualify, so there are at most ``rows / threshold`` of them - a
+proven bound that makes the broadcast of the key list safe. ``has_rows`` asks for at most one row of that list, so the
 common case (no hot group) keeps the plain window plan and pays one small aggregation job.
 
 The segment id of a row must be the same in the two uses of the segmented rows (local
@@ -40,9 +40,30 @@ def has_rows(df: DataFrame) -> bool:
     return not df.isEmpty()
 
 
+SAMPLE_ROWS_AT_THRESHOLD = 100
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int) -> DataFrame:
-    """Keys with more than ``threshold`` rows (at most ``count(df) / threshold`` of them)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > threshold).select(*keys)
+    """Keys with more than ``threshold`` rows (at most ``count(df) / threshold`` of them).
+
+    Candidates come from a Bernoulli sample in which a key at the threshold expects
+    ``SAMPLE_ROWS_AT_THRESHOLD`` rows; keys with half that many sampled rows are candidates
+    (at most ``2 * rows / threshold`` of them, so the list is broadcast safely). Candidates
+    are then counted exactly over all rows (broadcast semi join, partial/final aggregate),
+    so the shuffle carries a few rows per candidate instead of every distinct key. A hot key
+    the sample misses (vanishingly unlikely) only keeps the window path: results never
+    depend on the sample.
+    """
+    fraction = min(1.0, SAMPLE_ROWS_AT_THRESHOLD / max(threshold, 1))
+    counted = df.select(*keys)
+    if fraction < 1.0:
+        cut = SAMPLE_ROWS_AT_THRESHOLD // 2
+        cand = (counted.sample(fraction=fraction, seed=17).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+                .filter(F.col("__n") >= cut).select(*keys))
+        cand = F.broadcast(cand)
+        counted = counted.join(cand, _match(counted, cand, keys), "left_semi")
+    return (counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+            .filter(F.col("__n") > threshold).select(*keys))
 
 
 def _match(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> Column:

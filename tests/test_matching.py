@@ -122,3 +122,14 @@ def test_running_total_hot_path(spark):
     a = running_total(df, ["k"], [F.col("o")], "q", "cum", rank="rk")
     b = running_total(df, ["k"], [F.col("o")], "q", "cum", rank="rk", hot_threshold=100)
     assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
+
+
+def test_hot_keys_sampled_and_exact(spark):
+    from martforge.operators.skew import hot_keys
+
+    df = spark.range(0, 200_000).select(
+        F.when(F.col("id") < 120_000, F.lit("big")).when(F.col("id") < 150_000, F.lit("mid"))
+         .otherwise(F.concat(F.lit("k"), (F.col("id") % 5000).cast("string"))).alias("k"))
+    assert sorted(r.k for r in hot_keys(df, ["k"], 20_000).collect()) == ["big", "mid"]   # sampled path
+    assert sorted(r.k for r in hot_keys(df, ["k"], 50_000).collect()) == ["big"]
+    assert sorted(r.k for r in hot_keys(df, ["k"], 50).collect()) == ["big", "mid"]       # exact path (fraction 1)
