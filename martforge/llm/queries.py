@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.llm.common import word_count
+from martforge.llm.common import ship, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -76,3 +76,14 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
        sum(length('<s>[INST]' || er || '[/INST]' || et || '</s>'))::BIGINT AS formatted_chars, true AS same_turns
 FROM e GROUP BY conv_id
 """
+
+
+@_query
+def op9_piece_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded with the merge-type piece model and decoded again."""
+    import public_tokenizers
+
+    from martforge.llm.piece_encode import encode_decode
+
+    ship(spark)
+    return encode_decode(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("piece_bpe_32k.model"))
