@@ -87,3 +87,49 @@ def op9_piece_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ship(spark)
     return encode_decode(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_query
+def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality metrics and verdict of every document; its source stands for the host."""
+    from martforge.llm.line_quality import line_quality
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return line_quality(docs, F.col("doc_id"), F.col("text"), F.col("source"))
+
+
+SQL["op8_line_quality"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, source,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+rep AS (SELECT doc_id, count(DISTINCT p)::BIGINT AS n_repeat_words
+        FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p
+              FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) WHERE c > 1) GROUP BY doc_id),
+ln AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM d),
+dup AS (SELECT doc_id, (count(*) - count(DISTINCT line))::BIGINT AS n_dup_lines FROM ln
+        WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+norm AS (SELECT doc_id, source, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+                trim(regexp_replace(regexp_replace(lower(line), '\p{Nd}', '0', 'g'), '[^\p{L}0]+', ' ', 'g')) AS l FROM ln),
+freq AS (SELECT source, l FROM norm WHERE l <> '' GROUP BY source, l HAVING count(DISTINCT doc_id) > 200),
+gone AS (SELECT doc_id, sum(n)::BIGINT AS n_removed_words FROM norm JOIN freq ON norm.l = freq.l AND norm.source IS NOT DISTINCT FROM freq.source
+         GROUP BY doc_id),
+m AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+             length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+             coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_removed_words, 0) AS n_removed_words
+      FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN gone USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * (n_words - n_removed_words) >= 30 * n_words AS kept FROM m
+"""
+
+
+@_query
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every whole text; a document stands for the repository, its source for the owner."""
+    from martforge.llm.secret_scan import count_kind, scan_secrets, spell
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = scan_secrets(docs, F.col("doc_id"), F.col("text"), F.col("doc_id"), F.col("source"))
+    count = [count_kind("base", k).alias(n) for k, n in enumerate(("n_assign", "n_access", "n_hex"))]
+    live = F.size(F.filter("spans", lambda x: x["live"])).cast("long").alias("n_live")
+    return found.select("doc_id", *count, F.sha2(spell("base"), 256).alias("base_sha256"), spell("spans").alias("spans"), live)
