@@ -133,3 +133,13 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = [count_kind("base", k).alias(n) for k, n in enumerate(("n_assign", "n_access", "n_hex"))]
     live = F.size(F.filter("spans", lambda x: x["live"])).cast("long").alias("n_live")
     return found.select("doc_id", *count, F.sha2(spell("base"), 256).alias("base_sha256"), spell("spans").alias("spans"), live)
+
+
+@_query
+def op7_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of near equal bytes, cut by size, language and source."""
+    from martforge.llm.kd_shards import hash_scale, kd_shards, log_scale
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out = kd_shards(docs, F.col("doc_id"), F.col("text"), [log_scale(F.coalesce(F.col("n_chars"), F.lit(0))), hash_scale(F.col("lang")), hash_scale(F.col("source"))])
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
