@@ -143,3 +143,15 @@ def op7_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = kd_shards(docs, F.col("doc_id"), F.col("text"), [log_scale(F.coalesce(F.col("n_chars"), F.lit(0))), hash_scale(F.col("lang")), hash_scale(F.col("source"))])
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_query
+def op6_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text as token ids in seekable frame files, read back from them."""
+    import public_tokenizers
+
+    from martforge.llm.token_frames import read_token_frames, write_token_frames
+
+    ship(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return read_token_frames(write_token_frames(docs, public_tokenizers.path("byte_bpe_50k.json"), 2))
