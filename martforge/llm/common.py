@@ -64,3 +64,41 @@ def ranked(df: DataFrame, group: list[str], cell: list[str], order: list[str], n
     inside = Window.partitionBy(*group, *cell).orderBy(*order)
     return (df.join(starts, [*group, *cell])
             .withColumn(name, F.col("_before") + F.row_number().over(inside) - 1).drop("_before"))
+
+
+def small_side(df: DataFrame, row_bytes: int, limit_mb: int = 32) -> DataFrame:
+    """``df`` marked for broadcast if its counted rows of about ``row_bytes`` stay below ``limit_mb``, else as it is."""
+    return F.broadcast(df) if df.count() * row_bytes <= limit_mb << 20 else df
+
+
+def grouped_rows(batches, n_keys: int):
+    """Groups of sorted Arrow batches: yields tables of consecutive rows with equal first ``n_keys`` columns."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    held: list = []
+
+    def same(a, b) -> bool:
+        return all(a.column(i)[a.num_rows - 1].as_py() == b.column(i)[0].as_py() for i in range(n_keys))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held and not same(held[-1], batch):
+            yield pa.Table.from_batches(held)
+            held = []
+        change = np.zeros(batch.num_rows - 1, bool)
+        for i in range(n_keys):
+            c = batch.column(i)
+            change |= pc.not_equal(c.slice(1), c.slice(0, batch.num_rows - 1)).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            part = batch.slice(a, b - a)
+            if b < batch.num_rows:
+                yield pa.Table.from_batches([*held, part])
+                held = []
+            else:
+                held.append(part)
+    if held:
+        yield pa.Table.from_batches(held)

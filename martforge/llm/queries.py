@@ -155,3 +155,25 @@ def op6_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return read_token_frames(write_token_frames(docs, public_tokenizers.path("byte_bpe_50k.json"), 2))
+
+
+@_query
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under a 3-word shingle Jaccard similarity of 0.9."""
+    from martforge.llm.ngram_join import ngram_components
+
+    ship(spark)
+    return ngram_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+SQL["op1_ngram_join"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] END AS s
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * i >= 90 * (na.n + nb.n - i)),
+reach(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM reach r JOIN e ON e.a = r.b)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(m.b, w.doc_id)) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) AS b FROM reach GROUP BY a) m ON m.a = w.doc_id
+"""
