@@ -177,3 +177,12 @@ reach(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM reach r JOIN e ON
 SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(m.b, w.doc_id)) AS component_id
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) AS b FROM reach GROUP BY a) m ON m.a = w.doc_id
 """
+
+
+@_query
+def op5_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors at cosine 0.95: links, components and the kept ones."""
+    from martforge.llm.embedding_forest import near_duplicates
+
+    ship(spark)
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
