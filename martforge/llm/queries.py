@@ -186,3 +186,16 @@ def op5_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ship(spark)
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@_query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text, learned from the documents that are not held out."""
+    from martforge.llm.language_id import fit, held_out, identify
+
+    ship(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    doc_id, text = F.col("doc_id"), F.col("text")
+    models = fit(docs, doc_id, text, F.col("lang"), ~held_out(doc_id))
+    out = identify(docs, models, doc_id, text)
+    return out.select("doc_id", held_out(doc_id).alias("held_out"), "lang_pred", "score", "entropy", "accepted")
