@@ -273,7 +273,7 @@ def calibrate(models: Models, texts: DataFrame, slack: float = 1.25) -> Models:
     return models
 
 
-def identify(docs: DataFrame, models: Models, doc_id: Column, text: Column, keep: Column | None = None, least_score: float = 0.5) -> DataFrame:
+def identify(docs: DataFrame, models: Models, doc_id: Column, text: Column, keep: Column | None = None, least_score: float = 0.4) -> DataFrame:
     """Language of every whole text.
 
     Returns one row per row of ``docs``: doc_id, lang_pred, score (0 to 1), entropy (nats per character
