@@ -286,7 +286,7 @@ def identify(docs: DataFrame, models: Models, doc_id: Column, text: Column, keep
     shared = docs.sparkSession.sparkContext.broadcast(models)
     extra = [] if keep is None else [keep.alias("kept_row")]
     rows = docs.select(doc_id.alias("doc_id"), text.alias("_text"), *extra)
-    kind = rows.schema
+    kind, packed = rows.schema, keep is not None
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -307,10 +307,10 @@ def identify(docs: DataFrame, models: Models, doc_id: Column, text: Column, keep
                         score[has] = m.posterior(e[has])[np.arange(len(has)), best]
                         good[has] = (score[has] >= least_score) & (entropy[has] <= m.limit[best])
                 told = [pa.array(lang, pa.string()), pa.array(score), pa.array(entropy, mask=np.isnan(entropy)), pa.array(good)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *told, *batch.columns[2:]], ["doc_id", "lang_pred", "score", "entropy", "accepted", *(["kept_row"] if extra else [])])
+                yield pa.RecordBatch.from_arrays([batch.column(0), *told, *batch.columns[2:]], ["doc_id", "lang_pred", "score", "entropy", "accepted", *(["kept_row"] if packed else [])])
 
     schema = f"doc_id {kind['doc_id'].dataType.simpleString()}, lang_pred string, score double, entropy double, accepted boolean"
-    schema += f", kept_row {kind['kept_row'].dataType.simpleString()}" if extra else ""
+    schema += f", kept_row {kind['kept_row'].dataType.simpleString()}" if packed else ""
     return rows.mapInArrow(run, schema)
 
 
