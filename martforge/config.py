@@ -30,15 +30,16 @@ class MartConfig:
     # Controlling area for profit centers.
     controlling_area: str = "BUMN"
     # Bill of materials.
-    bom_max_levels: int = 10
+    # Levels of the explosion; None returns every level (cycles end at their closing row).
+    bom_max_levels: int | None = None
     bom_filter_material: tuple[str, ...] | None = None
     bom_filter_plant: str | None = None
     bom_filter_usage: str | None = None
     # "bom" keeps the reference's layer scope (partition by BOM number only);
     # "bom_plant" adds the plant and parent to layers 2-4.
     bom_dedup_scope: str = "bom"
-    # Checkpoint the explosion frontier every this many levels (0: only the edge list).
-    bom_checkpoint_every: int = 4
+    # Add sort_path to the mart and write it in depth-first order.
+    bom_depth_first: bool = False
     # Company-specific affiliate detection: substrings of the upper-cased name and
     # account -> site label maps. Supplied by the deployment; defaults are synthetic.
     customer_name_patterns: tuple[str, ...] = ()

@@ -1,16 +1,16 @@
-"""Hierarchy operators: layered BOM deduplication, multi-level explosion, ragged-tree flattening."""
+"""Hierarchy operators: layered BOM deduplication, multi-level explosion, ancestors of ragged trees."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martforge.operators.select import keep_min, latest_per_key
 from martforge.session import checkpoint_dir
 
+#: A component with a revision: digits, then one letter.
 REVISION_PATTERN = r"^([0-9]+)([A-Z])$"
 
 
@@ -18,121 +18,109 @@ def dedup_bom(direct: DataFrame, scope: str = "bom", tiebreak: Sequence[Column]
     """Four deduplication layers over direct BOM items, in this order:
 
     1. lowest alternative BOM per (parent, plant, usage) - all its items kept;
-    2. revision letters: among components ``<digits><letter>`` with the same digits in a
-       BOM, only the highest letter stays; other components pass untouched (and unshuffled);
-    3. per (BOM, alternative, component, quantity, unit) the latest valid-from;
-    4. per (BOM, alternative, item number) the highest item node.
-
-    ``scope='bom'`` partitions layers 2-4 by BOM number alone (a BOM number shared by two
-    plants then keeps one plant's row); ``scope='bom_plant'`` adds plant and parent.
-    ``tiebreak`` completes each layer's order so the kept row is deterministic.
-    """
-    if scope not in ("bom", "bom_plant"):
-        raise ValueError("scope must be 'bom' or 'bom_plant'")
-    extra = ["plant", "parent_matnr"] if scope == "bom_plant" else []
-    tb = list(tiebreak)
-
-    df = keep_min(direct, ["parent_matnr", "plant", "bom_usage"], "alt_bom")
-
-    base = F.regexp_extract(F.col("component_matnr"), REVISION_PATTERN, 1)
-    letter = F.regexp_extract(F.col("component_matnr"), REVISION_PATTERN, 2)
-    tagged = df.withColumn("__base", base).withColumn("__letter", letter)
-    plain = tagged.filter(F.col("__base") == "")
-    revised = latest_per_key(tagged.filter(F.col("__base") != ""), ["bom_number", "__base", *extra],
-                             [F.col("__letter").desc()], tb)
-    df = plain.unionByName(revised).drop("__base", "__letter")
+    2. highest revision per numbered component of a BOM; components without a revision stay;
+    3. latest valid-from per (BOM, alternative, component, quantity, unit);
+    4. highest item node per (BOM, alternative, item number).
 
-    df = latest_per_key(df, ["bom_number", "alt_bom", "component_matnr", "qty", "uom", *extra],
-                        [F.col("valid_from").desc()], tb)
-    df = latest_per_key(df, ["bom_number", "alt_bom", "item_number", *extra], [F.col("item_node").desc()], tb)
-    return df
+    ``scope='bom'`` judges layers 2-4 within a BOM number (one shared by two plants then keeps
+    one plant's row); ``scope='bom_plant'`` within BOM number, plant and parent. ``tiebreak``
+    completes each order so the kept row is deterministic.
 
-
-def prepare_edges(spark, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Hash-partition the edge list on the explosion join keys and checkpoint it once.
-
-    The checkpoint keeps the partitioning, so each level's join shuffles only its frontier;
-    the edge pipeline (source dedup, four layers) runs once, not once per level.
+    The input is evaluated once. Layer 1 is a minimum over its group; layers 2-4 share one
+    exchange on the scope columns, which all their groups contain.
+    """
+    scopes = {"bom": ["bom_number"], "bom_plant": ["bom_number", "plant", "parent_matnr"]}
+    if scope not in scopes:
+        raise ValueError("scope must be 'bom' or 'bom_plant'")
+    within = scopes[scope]
+    lowest = F.min("alt_bom").over(Window.partitionBy("parent_matnr", "plant", "bom_usage"))
+    kept = direct.withColumn("_lowest", lowest).where(F.col("alt_bom") == F.col("_lowest")).drop("_lowest")
+    part = F.regexp_extract("component_matnr", REVISION_PATTERN, 1)
+    kept = kept.withColumn("_part", F.when(part != "", part)).repartition(*within)
+    layers = [
+        (["_part"], F.regexp_extract("component_matnr", REVISION_PATTERN, 2).desc(), F.col("_part").isNull()),
+        (["alt_bom", "component_matnr", "qty", "uom"], F.col("valid_from").desc(), F.lit(False)),
+        (["alt_bom", "item_number"], F.col("item_node").desc(), F.lit(False)),
+    ]
+    for group, best, exempt in layers:
+        place = F.row_number().over(Window.partitionBy(*within, *group).orderBy(best, *tiebreak))
+        kept = kept.withColumn("_place", place).where((F.col("_place") == 1) | exempt).drop("_place")
+    return kept.drop("_part")
+
+
+def prepare_edges(edges: DataFrame, parent: str, child: str, same: Sequence[str]) -> DataFrame:
+    """Edge list with ``expands``: whether the child is itself a parent under equal ``same`` columns.
+
+    Checkpointed, so the edge pipeline runs once for the roots and all levels.
     """
-    checkpoint_dir(spark)
-    return edges.repartition(*keys).checkpoint(eager=True)
-
-
-def explode_hierarchy(spark, edges: DataFrame, roots: DataFrame, max_levels: int,
-                      parent: str, child: str, match: Sequence[tuple[str, str]],
-                      carry: Sequence[str], path_item: str, checkpoint_every: int = 4) -> DataFrame:
-    """Level-by-level explosion of parent -> child edges from ``roots`` (level-1 rows).
-
-    ``roots`` carries ``top_material, top_plant, parent_material, component_material,
-    bom_level, sort_path`` plus ``carry``. Level k+1 joins the level-k components to edges
-    whose ``parent`` equals the component and whose ``match`` columns equal the given
-    columns of the level-k row (e.g. same plant as the top, same usage). Stops at the first
-    empty level or at ``max_levels`` (so cycles end at the cap). Quantities are per parent,
-    not multiplied through levels. ``edges`` should come from ``prepare_edges``.
-
-    The levels are one lazy plan (each a single join on the previous level), so all of them
-    run in one job; shuffles shared between levels are reused. Every ``checkpoint_every``
-    levels the frontier is checkpointed to the session's reliable checkpoint folder: that
-    bounds the plan depth and lineage for any cap, lets a lost executor recompute from the
-    last checkpoint, and allows the loop to stop early once a level comes out empty.
+    checkpoint_dir(edges.sparkSession)
+    edges = edges.checkpoint(eager=True)
+    parents = edges.select(F.col(parent).alias(child), *same, F.lit(True).alias("expands")).distinct()
+    return (edges.join(parents, [child, *same], "left").select(*edges.columns, F.coalesce("expands", F.lit(False)).alias("expands"))
+            .checkpoint(eager=True))
+
+
+def explode_hierarchy(edges: DataFrame, roots: DataFrame, parent: str, child: str, match: Mapping[str, str],
+                      carry: Sequence[str], path_item: str, max_levels: int | None = None) -> DataFrame:
+    """All levels below ``roots`` (level-1 rows), until nothing is left to expand.
+
+    ``roots`` holds ``top_material, top_plant, parent_material, component_material, bom_level,
+    sort_path``, ``carry``, ``expands`` and ``trail`` (the materials from the top down to the
+    parent). Level k+1 joins the expandable rows of level k to the edges (from
+    :func:`prepare_edges`) whose ``parent`` is their component and whose ``match`` columns equal
+    theirs. A component that stands on its own trail closes a cycle: its row is kept and not
+    expanded. Quantities are per parent, not multiplied through levels. ``max_levels`` is for a
+    report that asks for so many levels; by default every level is returned.
+
+    Each level is one join of the level before it, checkpointed once; leaves never enter a join.
     """
-    checkpoint_dir(spark)
-    level = roots
-    levels = [level]
-    out_cols = level.columns
-    for depth in range(2, max_levels + 1):
-        front = level.select("top_material", "top_plant", F.col("component_material").alias("__expand"),
-                             "sort_path", *[F.col(f).alias(f"__m_{f}") for f, _ in match])
-        cond = [front["__expand"] == edges[parent]] + [front[f"__m_{f}"] == edges[e] for f, e in match]
-        nxt = front.join(edges, cond, "inner").select(
-            "top_material", "top_plant", F.col("__expand").alias("parent_material"),
-            F.col(child).alias("component_material"), F.lit(depth).cast("int").alias("bom_level"),
-            F.concat(F.col("sort_path"), F.lit("|"), F.lpad(F.col(path_item).cast("string"), 8, "0")).alias("sort_path"),
-            *[F.col(c) for c in carry]).select(*out_cols)
-        if checkpoint_every and (depth - 1) % checkpoint_every == 0 and depth < max_levels:
-            nxt = nxt.checkpoint(eager=True)
-            if nxt.isEmpty():
-                break
-        levels.append(nxt)
-        level = nxt
-    return reduce(DataFrame.unionByName, levels)
-
-
-def ragged_hierarchy(edges: DataFrame, level: str = "LEVEL", child: str = "CHILD", desc: str = "CHILD_DESC",
-                     parent: str = "PARENT") -> DataFrame:
-    """Flatten a 4-level tree whose leaves sit at level 4 or (childless) at level 3.
-
-    Returns ``node, level_3_dept, level_3_dept_desc, level_2_site, level_2_site_desc,
-    level_1_top, level_1_top_desc``; a missing ancestor leaves its tiers NULL.
+    found, level, depth = [], roots, 1
+    while max_levels is None or depth < max_levels:
+        front = level.where(F.col("expands") & ~F.array_contains("trail", F.col("component_material")))
+        if depth > 1 and front.isEmpty():
+            break
+        f, e = front.alias("f"), edges.alias("e")
+        joined = f.join(e, reduce(Column.__and__, [F.col("f.component_material") == F.col(f"e.{parent}"),
+                                                   *[F.col(f"f.{a}") == F.col(f"e.{b}") for a, b in match.items()]]))
+        step = F.lpad(F.col(f"e.{path_item}").cast("string"), 8, "0")
+        new = {"top_material": F.col("f.top_material"), "top_plant": F.col("f.top_plant"),
+               "parent_material": F.col(f"e.{parent}"), "component_material": F.col(f"e.{child}"),
+               "bom_level": F.lit(depth + 1).cast("int"), "sort_path": F.concat_ws("|", "f.sort_path", step),
+               "expands": F.col("e.expands"), "trail": F.array_append("f.trail", F.col(f"e.{parent}")),
+               **{c: F.col(f"e.{c}") for c in carry}}
+        level = joined.select(*[new[c].alias(c) for c in roots.columns]).checkpoint(eager=True)
+        found.append(level)
+        depth += 1
+    return reduce(DataFrame.unionByName, found, roots).drop("expands", "trail")
+
+
+def childless_nodes(nodes: DataFrame, level: str = "LEVEL", child: str = "CHILD", parent: str = "PARENT") -> DataFrame:
+    """Nodes that no node of the next level names as its parent (left anti join)."""
+    below = nodes.select((F.col(level).cast("int") - 1).alias("_above"), F.col(parent).alias("_named"))
+    return nodes.join(below, (F.col(level).cast("int") == F.col("_above")) & (F.col(child) == F.col("_named")), "left_anti")
+
+
+def ragged_hierarchy(nodes: DataFrame, tiers: Mapping[int, tuple[str, str]], first_leaf: int = 3, level: str = "LEVEL",
+                     child: str = "CHILD", desc: str = "CHILD_DESC", parent: str = "PARENT") -> DataFrame:
+    """Ancestors of the leaves of a ragged tree, one column pair per tier.
+
+    ``tiers`` maps a level to the names of its id and text columns; the deepest leaves stand one
+    level below the deepest tier. Leaves are the childless nodes from level ``first_leaf`` on.
+    Every leaf follows its parent pointer one level up per step, through any number of levels;
+    from a missing ancestor on, its tiers stay NULL. Returns ``node`` and the tier columns, deepest
+    tier first.
     """
-    def lvl(n, *cols):
-        return edges.filter(F.col(level) == str(n)).select(*cols)
-
-    l1 = lvl(1, F.col(child).alias("l1_child"), F.col(desc).alias("l1_desc"))
-    l2 = lvl(2, F.col(child).alias("l2_child"), F.col(desc).alias("l2_desc"), F.col(parent).alias("l2_parent"))
-    l3 = lvl(3, F.col(child).alias("l3_child"), F.col(desc).alias("l3_desc"), F.col(parent).alias("l3_parent"))
-    l4 = lvl(4, F.col(child).alias("l4_child"), F.col(parent).alias("l4_parent"))
-
-    upper = l2.join(l1, F.col("l2_parent") == F.col("l1_child"), "left")
-    from_l4 = (l4.join(l3, F.col("l4_parent") == F.col("l3_child"), "left")
-                 .join(upper, F.col("l3_parent") == F.col("l2_child"), "left")
-                 .select(F.col("l4_child").alias("node"), F.col("l3_child").alias("level_3_dept"),
-                         F.col("l3_desc").alias("level_3_dept_desc"), "l2_child", "l2_desc", "l1_child", "l1_desc"))
-    leaves3 = childless_nodes(edges, 3, level, child, parent)
-    from_l3 = (leaves3.select(F.col(child).alias("l3_child"), F.col(parent).alias("l3_parent"))
-               .join(upper, F.col("l3_parent") == F.col("l2_child"), "left")
-               .select(F.col("l3_child").alias("node"), F.lit(None).cast("string").alias("level_3_dept"),
-                       F.lit(None).cast("string").alias("level_3_dept_desc"), "l2_child", "l2_desc", "l1_child",
-                       "l1_desc"))
-    return from_l4.unionByName(from_l3).select(
-        "node", "level_3_dept", "level_3_dept_desc", F.col("l2_child").alias("level_2_site"),
-        F.col("l2_desc").alias("level_2_site_desc"), F.col("l1_child").alias("level_1_top"),
-        F.col("l1_desc").alias("level_1_top_desc"))
-
-
-def childless_nodes(edges: DataFrame, depth: int, level: str = "LEVEL", child: str = "CHILD",
-                    parent: str = "PARENT") -> DataFrame:
-    """Nodes at ``depth`` that no node at ``depth + 1`` names as parent (left anti join)."""
-    nodes = edges.filter(F.col(level) == str(depth))
-    below = edges.filter(F.col(level) == str(depth + 1)).select(F.col(parent).alias("__p"))
-    return nodes.join(below, nodes[child] == below["__p"], "left_anti")
+    depth = max(tiers) + 1
+    at = F.col(level).cast("int")
+    known = nodes.where(at.between(1, depth))
+    leaves = childless_nodes(known, level, child, parent).where(at >= first_leaf)
+    names = [n for k in sorted(tiers, reverse=True) for n in tiers[k]]
+    walk = leaves.select(F.col(child).alias("node"), (at - 1).alias("_level"), F.col(parent).alias("_up"),
+                         *[F.lit(None).cast("string").alias(n) for n in names])
+    above = known.select(at.alias("_k"), F.col(child).alias("_id"), F.col(desc).alias("_text"), F.col(parent).alias("_next"))
+    for _ in range(depth - 1):
+        walk = walk.join(above, (F.col("_level") == F.col("_k")) & (F.col("_up") == F.col("_id")), "left")
+        filled = {n: F.when(F.col("_k") == k, F.col(c)).otherwise(F.col(n)) for k, pair in tiers.items()
+                  for n, c in zip(pair, ("_id", "_text"), strict=True)}
+        walk = walk.select("node", (F.col("_level") - 1).alias("_level"), F.col("_next").alias("_up"), *[filled[n].alias(n) for n in names])
+    return walk.select("node", *names)

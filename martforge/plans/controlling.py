@@ -17,6 +17,9 @@ PROFIT_CENTER = cols([
     "level_2_site_desc", "level_1_top", "level_1_top_desc",
 ])
 
+#: Columns of the tree's levels above the leaves.
+TIERS = {3: ("level_3_dept", "level_3_dept_desc"), 2: ("level_2_site", "level_2_site_desc"), 1: ("level_1_top", "level_1_top_desc")}
+
 
 def profit_center(src: Sources, cfg: MartConfig) -> DataFrame:
     """Active profit centers of the controlling area with text and hierarchy tiers.
@@ -27,7 +30,7 @@ def profit_center(src: Sources, cfg: MartConfig) -> DataFrame:
     area = F.col("KOKRS") == cfg.controlling_area
     cepc = active_only(src.scoped("CEPC", cfg).filter(area)).select("PRCTR", "LOCK_IND")
     cepct = active_only(src.scoped("CEPCT", cfg, language=True).filter(area)).select("PRCTR", "KTEXT")
-    tiers = ragged_hierarchy(src.table("PROFIT_CENTER_HIERARCHY")).withColumnRenamed("node", "PRCTR")
+    tiers = ragged_hierarchy(src.table("PROFIT_CENTER_HIERARCHY"), TIERS).withColumnRenamed("node", "PRCTR")
     df = cepc.join(cepct, "PRCTR", "left").join(tiers, "PRCTR", "left")
     return conform(df.select(
         F.col("PRCTR").alias("profit_center"), F.col("KTEXT").alias("description"),

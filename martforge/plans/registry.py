@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,15 +108,30 @@ def completion_supplier_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bom_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multi-level explosion aggregated by level: rows and summed per-parent quantity."""
-    exploded = bom.bill_of_materials(_src(spark, sf_dir), DRIVER_CONFIG, sort_output=False)
+    exploded = bom.bill_of_materials(_src(spark, sf_dir), DRIVER_CONFIG)
     return exploded.groupBy("bom_level").agg(F.count(F.lit(1)).alias("rows"),
                                              F.sum("qty").cast("decimal(18,3)").alias("qty"))
 
 
+def bom_depth_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Depth-first listing of the explosion with its sort path."""
+    return bom.bill_of_materials(_src(spark, sf_dir), replace(DRIVER_CONFIG, bom_depth_first=True))
+
+
+def bom_dedup_plant_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deduplicated direct BOM with layers 2-4 within BOM number, plant and parent."""
+    return bom.bom_deduplicated(_src(spark, sf_dir), replace(DRIVER_CONFIG, bom_dedup_scope="bom_plant"))
+
+
+def bom_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Explosion under the optional run-time filters on plant and usage."""
+    return bom.bill_of_materials(_src(spark, sf_dir), replace(DRIVER_CONFIG, bom_filter_plant="1001", bom_filter_usage="1"))
+
+
 def leaf_nodes_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Level-3 nodes of the organisation tree without level-4 children."""
     tree = _src(spark, sf_dir).table("PROFIT_CENTER_HIERARCHY")
-    return childless_nodes(tree, 3).select(F.col("CHILD").alias("node"), F.col("CHILD_DESC").alias("description"),
+    return childless_nodes(tree).where(F.col("LEVEL") == "3").select(F.col("CHILD").alias("node"), F.col("CHILD_DESC").alias("description"),
                                            F.col("PARENT").alias("parent"))
 
 
@@ -165,6 +181,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bom_dedup_layers": _mart(bom.bom_deduplicated),
     "bom_explosion": _mart(bom.bill_of_materials),
     "bom_levels": bom_levels,
+    "bom_depth_first": bom_depth_first,
+    "bom_dedup_plant_scope": bom_dedup_plant_scope,
+    "bom_filtered": bom_filtered,
     # controlling
     "hierarchy_ragged": _mart(controlling.profit_center),
     "leaf_nodes_anti": leaf_nodes_anti,

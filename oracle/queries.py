@@ -350,9 +350,10 @@ TIEBREAK = ("plant ASC NULLS FIRST, parent_matnr ASC NULLS FIRST, bom_usage ASC
             "alt_bom ASC NULLS FIRST, item_node DESC NULLS LAST, item_number ASC NULLS FIRST, "
             "component_matnr ASC NULLS FIRST")
 REV = "'^([0-9]+)([A-Z])$'"
-_BOM = f"""mast_d AS (
+def _bom(scope: str = "bom_number", assigned: str = "true") -> str:
+    return f"""mast_d AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY MATNR, WERKS, STLAN, STLAL ORDER BY STLNR DESC NULLS LAST) AS rn
-                 FROM MAST WHERE MANDT = '400') WHERE rn = 1),
+                 FROM MAST WHERE MANDT = '400') WHERE rn = 1 AND {assigned}),
 stko_d AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY STLNR, STLAL
                    ORDER BY case when STLTY = 'M' then 0 else 1 end, STLTY ASC NULLS FIRST) AS rn
@@ -378,44 +379,55 @@ layer1 AS (
 layer2 AS (
   SELECT * EXCLUDE (base, rn) FROM (
     SELECT *, regexp_extract(component_matnr, {REV}, 1) AS base,
-      row_number() OVER (PARTITION BY bom_number, regexp_extract(component_matnr, {REV}, 1)
+      row_number() OVER (PARTITION BY {scope}, regexp_extract(component_matnr, {REV}, 1)
         ORDER BY regexp_extract(component_matnr, {REV}, 2) DESC NULLS LAST, {TIEBREAK}) AS rn
     FROM layer1) WHERE base = '' OR (base <> '' AND rn = 1)),
 layer3 AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY bom_number, alt_bom, component_matnr, qty, uom
+    SELECT *, row_number() OVER (PARTITION BY {scope}, alt_bom, component_matnr, qty, uom
       ORDER BY valid_from DESC NULLS LAST, {TIEBREAK}) AS rn FROM layer2) WHERE rn = 1),
 layer4 AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY bom_number, alt_bom, item_number
+    SELECT *, row_number() OVER (PARTITION BY {scope}, alt_bom, item_number
       ORDER BY item_node DESC NULLS LAST, {TIEBREAK}) AS rn FROM layer3) WHERE rn = 1)"""
+
 _BOM_TABLES = ["MAST", "STKO", "STAS", "STPO"]
 
-SQL["bom_dedup_layers"] = with_shapes(_BOM_TABLES, f""", {_BOM}
-SELECT parent_matnr, plant, bom_usage, bom_category, bom_number, alt_bom, item_number, component_matnr,
-  {Q('qty')} AS qty, uom, item_category, valid_from, item_node, item_counter FROM layer4""")
+_BOM_COLS = f"""parent_matnr, plant, bom_usage, bom_category, bom_number, alt_bom, item_number, component_matnr,
+  {Q('qty')} AS qty, uom, item_category, valid_from, item_node, item_counter"""
+SQL["bom_dedup_layers"] = with_shapes(_BOM_TABLES, f", {_bom()} SELECT {_BOM_COLS} FROM layer4")
+SQL["bom_dedup_plant_scope"] = with_shapes(_BOM_TABLES, f", {_bom('bom_number, plant, parent_matnr')} SELECT {_BOM_COLS} FROM layer4")
+
 
-SQL["bom_explosion"] = with_shapes(_BOM_TABLES + ["MAKT"], f""", {_BOM},
+def _explosion(more: str = "", **bom) -> str:
+    """Every level; a component on its own trail is kept and not expanded."""
+    return with_shapes(_BOM_TABLES + ["MAKT"], f""", {_bom(**bom)},
 ex AS (
   SELECT parent_matnr AS top_material, plant AS top_plant, parent_matnr AS parent_material,
-    component_matnr AS component_material, 1 AS bom_level,
+    component_matnr AS component_material, 1 AS bom_level, [parent_matnr] AS trail,
     parent_matnr || '_' || plant || '|' || lpad(item_number, 8, '0') AS sort_path,
     plant, bom_usage, bom_category, bom_number, alt_bom, item_number, qty, uom, item_category, valid_from
   FROM layer4
   UNION ALL
   SELECT e.top_material, e.top_plant, e.component_material, d.component_matnr, e.bom_level + 1,
+    list_append(e.trail, e.component_material),
     e.sort_path || '|' || lpad(d.item_number, 8, '0'), d.plant, d.bom_usage, d.bom_category, d.bom_number,
     d.alt_bom, d.item_number, d.qty, d.uom, d.item_category, d.valid_from
   FROM ex e JOIN layer4 d ON d.parent_matnr = e.component_material AND d.plant = e.top_plant
     AND d.bom_usage = e.bom_usage
-  WHERE e.bom_level < 10),
+  WHERE NOT list_contains(e.trail, e.component_material)),
 txt AS (SELECT {STRIP('MATNR')} AS m, MAKTX FROM MAKT WHERE MANDT = '400' AND SPRAS = 'E')
 SELECT ex.top_material, ex.top_plant, cast(ex.bom_level AS integer) AS bom_level, ex.parent_material,
   pt.MAKTX AS parent_description, ex.component_material, ct.MAKTX AS component_description, ex.plant, ex.bom_usage,
   ex.bom_number, ex.alt_bom, ex.bom_category, ex.item_number, {Q('ex.qty')} AS qty, ex.uom, ex.item_category,
-  ex.valid_from
+  ex.valid_from{more}
 FROM ex LEFT JOIN txt pt ON pt.m = ex.parent_material LEFT JOIN txt ct ON ct.m = ex.component_material""",
-    recursive=True)
+        recursive=True)
+
+
+SQL["bom_explosion"] = _explosion()
+SQL["bom_depth_first"] = _explosion(", ex.sort_path")
+SQL["bom_filtered"] = _explosion(assigned="WERKS = '1001' AND STLAN = '1'")
 
 # ----------------------------------------------------------------------------- controlling
 _TIERS = """h AS (SELECT * FROM PROFIT_CENTER_HIERARCHY),

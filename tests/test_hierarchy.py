@@ -1,3 +1,5 @@
+import datetime as dt
+import re
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -5,8 +7,9 @@ from pyspark.sql import functions as F
 from martforge.operators.hierarchy import (
     childless_nodes, dedup_bom, explode_hierarchy, prepare_edges, ragged_hierarchy,
 )
-from martforge.operators.select import keep_min, latest_per_key
-from martforge.plans.bom import EXPLOSION_CARRY, dedup_tiebreak
+from martforge.operators.select import active_only, keep_min, latest_per_key, valid_as_of
+from martforge.plans.controlling import TIERS
+from martforge.plans.bom import EXPLOSION_CARRY, bom_roots, dedup_tiebreak
 
 DIRECT = ("parent_matnr string, plant string, bom_usage string, bom_category string, bom_number string, "
           "alt_bom string, item_number string, component_matnr string, qty decimal(13,3), uom string, "
@@ -19,28 +22,31 @@ def direct_row(parent, comp, item="0010", plant="1001", usage="1", bom=None, alt
             node or item, "1")
 
 
-def explode(spark, rows, max_levels=10):
+def explode(spark, rows, max_levels=None):
     edges = spark.createDataFrame(rows, DIRECT).select("parent_matnr", "component_matnr", *EXPLOSION_CARRY)
-    edges = prepare_edges(spark, edges, ["parent_matnr", "plant", "bom_usage"])
-    roots = edges.select(
-        F.col("parent_matnr").alias("top_material"), F.col("plant").alias("top_plant"),
-        F.col("parent_matnr").alias("parent_material"), F.col("component_matnr").alias("component_material"),
-        F.lit(1).alias("bom_level"),
-        F.concat("parent_matnr", F.lit("_"), "plant", F.lit("|"), F.lpad("item_number", 8, "0")).alias("sort_path"),
-        *EXPLOSION_CARRY)
-    return explode_hierarchy(spark, edges, roots, max_levels, "parent_matnr", "component_matnr",
-                             [("top_plant", "plant"), ("bom_usage", "bom_usage")], EXPLOSION_CARRY, "item_number")
-
-
-def test_explosion_depth_cap_and_cycles(spark):
-    chain = [direct_row(f"M{i}", f"M{i + 1}") for i in range(12)]           # depth 12
-    loops = [direct_row("S", "S"), direct_row("X", "Y"), direct_row("Y", "X")]  # self-loop, 2-cycle
-    out = explode(spark, chain + loops)
-    top0 = out.filter("top_material = 'M0'")
-    assert top0.agg(F.max("bom_level")).first()[0] == 10
-    assert top0.count() == 10
-    assert out.filter("top_material = 'S'").count() == 10
-    assert out.filter("top_material = 'X'").agg(F.max("bom_level")).first()[0] == 10
+    edges = prepare_edges(edges, "parent_matnr", "component_matnr", ["plant", "bom_usage"])
+    return explode_hierarchy(edges, bom_roots(edges), "parent_matnr", "component_matnr",
+                             {"top_plant": "plant", "bom_usage": "bom_usage"}, EXPLOSION_CARRY, "item_number", max_levels)
+
+
+def test_explosion_is_complete(spark):
+    chain = [direct_row(f"M{i}", f"M{i + 1}") for i in range(14)]
+    out = explode(spark, chain)
+    assert (out.count(), out.agg(F.max("bom_level")).first()[0]) == (105, 14)
+    assert explode(spark, chain, max_levels=3).agg(F.max("bom_level")).first()[0] == 3
+
+
+def test_explosion_ends_cycles_at_their_closing_row(spark):
+    loops = [direct_row("S", "S"), direct_row("X", "Y"), direct_row("Y", "X"), direct_row("T", "X")]
+    got = sorted((r.top_material, r.bom_level, r.parent_material, r.component_material) for r in explode(spark, loops).collect())
+    assert got == [("S", 1, "S", "S"), ("T", 1, "T", "X"), ("T", 2, "X", "Y"), ("T", 3, "Y", "X"),
+                   ("X", 1, "X", "Y"), ("X", 2, "Y", "X"), ("Y", 1, "Y", "X"), ("Y", 2, "X", "Y")]
+
+
+def test_dedup_evaluates_its_input_once(spark):
+    df = spark.createDataFrame([direct_row("P", "C1")], DIRECT)
+    plan = dedup_bom(df, "bom", dedup_tiebreak())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ExistingRDD") == 1 and plan.count("Exchange hashpartitioning") == 2
 
 
 def test_explosion_shared_component_and_usage(spark):
@@ -82,12 +88,33 @@ def test_ragged_hierarchy(spark):
         ("1", "TOP", "Top", None), ("2", "S1", "Site 1", "TOP"), ("3", "D1", "Dept 1", "S1"),
         ("4", "PC4", "Leaf 4", "D1"), ("3", "PC3", "Leaf 3", "S1"), ("4", "ORPHAN", "Broken", "DX"),
     ], "LEVEL string, CHILD string, CHILD_DESC string, PARENT string")
-    got = {r.node: tuple(r)[1:] for r in ragged_hierarchy(tree).collect()}
+    got = {r.node: tuple(r)[1:] for r in ragged_hierarchy(tree, TIERS).collect()}
     assert got["PC4"] == ("D1", "Dept 1", "S1", "Site 1", "TOP", "Top")
     assert got["PC3"] == (None, None, "S1", "Site 1", "TOP", "Top")
     assert got["ORPHAN"] == (None, None, None, None, None, None)
     assert "D1" not in got
-    assert [r.CHILD for r in childless_nodes(tree, 3).collect()] == ["PC3"]
+    assert [r.CHILD for r in childless_nodes(tree).where("LEVEL = 3").collect()] == ["PC3"]
+
+
+def test_ragged_hierarchy_of_five_levels(spark):
+    tree = spark.createDataFrame([("1", "T", "Top", None), ("2", "A", "a", "T"), ("3", "B", "b", "A"), ("4", "C", "c", "B"), ("5", "L5", "x", "C"),
+                                  ("4", "L4", "y", "B"), ("3", "L3", "z", "A"), ("5", "LOST", "w", "NONE"), ("2", "X", "no leaf", "T")],
+                                 "LEVEL string, CHILD string, CHILD_DESC string, PARENT string")
+    tiers = {4: ("l4", "t4"), 3: ("l3", "t3"), 2: ("l2", "t2"), 1: ("l1", "t1")}
+    got = {r.node: (r.l4, r.l3, r.l2, r.l1, r.t2) for r in ragged_hierarchy(tree, tiers).collect()}
+    assert got == {"L5": ("C", "B", "A", "T", "a"), "L4": (None, "B", "A", "T", "a"), "L3": (None, None, "A", "T", "a"),
+                   "LOST": (None,) * 5}
+
+
+def test_validity_filters_reach_the_scan(spark, tmp_path):
+    spark.createDataFrame([("99991231", "19990101"), ("9999-12-31", "2000-01-01"), ("20001231", "20010101"), ("x", "x")],
+                          "DATBI string, DATUV string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    ended, begun = active_only(df), valid_as_of(df, "DATUV", dt.date(2000, 1, 1))
+    assert ended.count() == 2 and begun.count() == 2
+    for kept, column in ((ended, "DATBI"), (begun, "DATUV")):
+        pushed = re.search(r"PushedFilters: \[(.*?)\]", kept._jdf.queryExecution().executedPlan().toString())[1]
+        assert f"({column}," in pushed
 
 
 def test_latest_per_key_total_order_and_keep_min(spark):
