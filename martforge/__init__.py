@@ -7,7 +7,6 @@ sources/    table access (catalog, parquet, driver-shaped fixtures), declared sc
 operators/  reusable DataFrame operators (latest-per-key, stacking, enrichment,
             cumulative completion matching, BOM dedup/explosion, ragged hierarchies)
 plans/      the report and dimension marts, each ``build(src, cfg) -> DataFrame``
-streaming/  intentionally empty: every mart is a batch full refresh
 """
 
 from martforge.config import MartConfig

@@ -24,9 +24,6 @@ class MartConfig:
     storage_plants: tuple[str, ...] = ("4002", "4019", "4020", "4021", "4022")
     # Special-stock indicators kept from vendor stock (MSSL).
     vendor_stock_kinds: tuple[str, ...] = ("O", "V")
-    # Groups (e.g. one purchase-order item) with more rows than this are scanned in range
-    # segments instead of by one window task (see operators/skew.py). None disables the split.
-    hot_group_rows: int | None = 1_000_000
     # Controlling area for profit centers.
     controlling_area: str = "BUMN"
     # Bill of materials.

@@ -1 +1 @@
-"""Reusable DataFrame operators (selection, combination, matching, hierarchies, skew handling)."""
+"""Reusable DataFrame operators (selection, combination, prefix scans, matching, hierarchies)."""

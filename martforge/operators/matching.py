@@ -6,141 +6,80 @@ schedule line is completed by the first receipt (in receipt order) whose running
 reaches its running requirement: ``min(gr_rank) where cum_gr >= cum_sched``.
 
 The textbook form is a non-equi left join on ``cum_gr >= cum_sched`` followed by a top-1
-window - quadratic in the lines per group. Here both sequences are stacked into one frame
-and ordered by cumulative quantity descending (receipts before schedule lines on ties);
-a running ``min(struct(gr_rank, payload))`` from the top then gives, at every schedule
-line, the earliest receipt among all receipts with at least its cumulative quantity. That
-is one linear pass per group with an incremental (unbounded-preceding) frame, in a single
-sort after a single shuffle on the group keys.
+window - quadratic in the lines per group. Here lines and receipts are stacked; one scan in
+date order gives ranks and running totals, a second one in falling cumulative quantity
+(receipts before schedule lines on ties) carries ``min(struct(gr_rank, payload))`` along: at a
+schedule line it is the earliest receipt among all with at least its cumulative quantity.
+
+Both scans run in segments (:mod:`martforge.operators.prefix`), so an item that holds most of
+the lines is spread over many tasks by the same plan that serves small items.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from martforge.operators.skew import has_rows, hot_keys, segmented_prefix, split_hot
-
-
-def exact_sum(df: DataFrame, qty: str):
-    """``(summand, finish)`` for an exact sum of ``qty``.
 
-    ``sum`` over ``decimal(p, s)`` accumulates in ``decimal(p + 10, s)``; beyond 18 digits that
-    leaves Spark's 64-bit decimal path for arbitrary-precision arithmetic (about twice as
-    slow). For a decimal with at most 18 digits the sum runs over the unscaled 64-bit values
-    instead - still exact; an overflow (beyond 9.2e18 units of the last digit) raises under
-    ANSI mode rather than wrapping - and ``finish`` rescales to ``decimal(p + 10, s)``.
-    """
-    dtype = df.schema[qty].dataType
-    if isinstance(dtype, T.DecimalType) and dtype.precision <= 18:
-        scale, precision = dtype.scale, min(dtype.precision + 10, 38)
-        unscaled = (F.col(qty) * F.lit(10 ** scale)).cast("long")
-
-        def finish(c: Column) -> Column:
-            return (c.cast(f"decimal({precision},0)") / F.lit(10 ** scale)).cast(f"decimal({precision},{scale})")
+from martforge.operators.prefix import prefix_scan
 
-        return unscaled, finish
-    return F.col(qty), (lambda c: c)
+#: Lines and receipts of an item in one quantity segment, on average.
+SEGMENT_ROWS = 10_000
 
 
-def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[Column], qty: str,
-                  out: str, rank: str | None = None, hot_threshold: int | None = None) -> DataFrame:
-    """Add ``out`` = running sum of ``qty`` (rows frame) and optionally ``rank`` = row_number.
+def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[Column], qty: str, out: str,
+                  rank: str | None = None, segment: Column | None = None) -> DataFrame:
+    """Add ``out`` = running sum of ``qty`` and optionally ``rank`` = row number within ``keys``.
 
-    Both share one window spec, so Spark plans one exchange, one sort and one Window operator.
-    With ``hot_threshold``, groups above that many rows take the segmented scan of
-    ``operators.skew`` instead of a single-task window; ``order`` must be total per group.
+    ``order`` must be total per group. ``segment`` never decreases along it; a group is spread
+    by its segments (without it, a group is one segment).
     """
-    summand, finish = exact_sum(df, qty)
-
-    def by_window(d: DataFrame) -> DataFrame:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        d = d.withColumn(out, finish(F.sum(summand).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-        if rank:
-            d = d.withColumn(rank, F.row_number().over(w))
-        return d
-
-    if hot_threshold is None:
-        return by_window(df)
-    hot_list = hot_keys(df, keys, hot_threshold)
-    if not has_rows(hot_list):
-        return by_window(df)
-    normal, hot = split_hot(df, hot_list, keys)
-    return by_window(normal).unionByName(_running_segmented(hot, keys, order, summand, finish, out, rank))
-
-
-def _running_segmented(df, keys, order, summand, finish, out, rank):
-    specs = [(out, "sum", summand)] + ([(rank, "sum", F.lit(1))] if rank else [])
-    d = segmented_prefix(df, keys, order, specs).withColumn(out, finish(F.col(out)))
+    running = {out: ("sum", F.col(qty))} | ({rank: ("sum", F.lit(1))} if rank else {})
+    d = prefix_scan(df, keys, F.lit(0) if segment is None else segment, order, running)
     return d.withColumn(rank, F.col(rank).cast("int")) if rank else d
 
 
-def _null_struct(df: DataFrame, cols: Sequence[str]) -> Column:
-    dtype = df.select(F.struct(*cols).alias("s")).schema["s"].dataType
-    return F.lit(None).cast(dtype)
-
-
 def completion_match(sched: DataFrame, receipts: DataFrame, keys: Sequence[str],
                      sched_order: Sequence[Column], sched_qty: str,
                      receipt_order: Sequence[Column], receipt_qty: str,
                      receipt_cols: Sequence[str],
                      sched_rank: str = "sched_rank", cum_sched: str = "cum_sched_qty",
                      gr_rank: str = "gr_rank", cum_gr: str = "cum_gr_qty",
-                     hot_threshold: int | None = None) -> DataFrame:
+                     sched_segment: Column | None = None, receipt_segment: Column | None = None) -> DataFrame:
     """Schedule lines (all columns + ``sched_rank``, ``cum_sched``) with the completing receipt's
     ``gr_rank``, ``cum_gr`` and ``receipt_cols`` (NULL when not yet completed).
 
     A NULL running requirement never completes; receipts with a NULL running quantity
     never complete anything; equal quantities complete (``>=``). Both orders must be total
-    within a group. With ``hot_threshold``, groups with more schedule lines plus receipts
-    than that are matched by segmented scans (``operators.skew``) instead of one window task
-    per group; the other groups keep the single-shuffle window plan.
+    within a group; the segments (of one type) never decrease along them. The result is a lazy
+    plan: no job runs while it is built.
     """
     keys = list(keys)
-    names = dict(sched_rank=sched_rank, cum_sched=cum_sched, gr_rank=gr_rank, cum_gr=cum_gr)
-    hot = None if hot_threshold is None else hot_keys(
-        sched.select(*keys).unionByName(receipts.select(*keys)), keys, hot_threshold)
-    if hot is None or not has_rows(hot):
-        return _match(sched, receipts, keys, sched_order, sched_qty, receipt_order, receipt_qty, receipt_cols,
-                      segmented=False, **names)
-    s_norm, s_hot = split_hot(sched, hot, keys)
-    r_norm, r_hot = split_hot(receipts, hot, keys)
-    normal = _match(s_norm, r_norm, keys, sched_order, sched_qty, receipt_order, receipt_qty, receipt_cols,
-                    segmented=False, **names)
-    heavy = _match(s_hot, r_hot, keys, sched_order, sched_qty, receipt_order, receipt_qty, receipt_cols,
-                   segmented=True, **names)
-    return normal.unionByName(heavy)
-
-
-def _match(sched, receipts, keys, sched_order, sched_qty, receipt_order, receipt_qty, receipt_cols, segmented,
-           sched_rank, cum_sched, gr_rank, cum_gr) -> DataFrame:
-    if segmented:
-        s_sum, s_fin = exact_sum(sched, sched_qty)
-        r_sum, r_fin = exact_sum(receipts, receipt_qty)
-        s = _running_segmented(sched, keys, sched_order, s_sum, s_fin, cum_sched, sched_rank)
-        r = _running_segmented(receipts, keys, receipt_order, r_sum, r_fin, cum_gr, gr_rank)
-    else:
-        s = running_total(sched, keys, sched_order, sched_qty, cum_sched, rank=sched_rank)
-        r = running_total(receipts, keys, receipt_order, receipt_qty, cum_gr, rank=gr_rank)
-    r = r.filter(F.col(cum_gr).isNotNull())
-
-    s_cols = [c for c in s.columns if c not in keys]
-    g_cols = [gr_rank, cum_gr, *receipt_cols]
-    events = s.select(*keys, F.col(cum_sched).alias("__cum"), F.lit(1).alias("__kind"),
-                      F.struct(*s_cols).alias("__s"), _null_struct(r, g_cols).alias("__g")).unionByName(
-        r.select(*keys, F.col(cum_gr).alias("__cum"), F.lit(0).alias("__kind"),
-                 _null_struct(s, s_cols).alias("__s"), F.struct(*g_cols).alias("__g")))
-
-    order = [F.col("__cum").desc_nulls_last(), F.col("__kind").asc()]
-    if segmented:
-        events = segmented_prefix(events, keys, order, [("__run", "min", F.col("__g"))])
-    else:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        events = events.withColumn("__run", F.min("__g").over(w))
-    matched = (events.withColumn("__best", F.when(F.col("__cum").isNotNull(), F.col("__run")))
-               .filter(F.col("__kind") == 1))
-    return matched.select(*keys, *[F.col("__s")[c].alias(c) for c in s_cols],
-                          *[F.col("__best")[c].alias(c) for c in g_cols])
+    payload = [c for c in sched.columns if c not in keys]
+
+    def side(df: DataFrame, kind: int, qty: str, order: Sequence[Column], segment: Column | None, carried: list[str]) -> DataFrame:
+        return df.select(F.struct(*keys).alias("key"), F.lit(kind).alias("kind"), F.col(qty).alias("qty"),
+                         (F.lit("") if segment is None else segment.cast("string")).alias("part"),
+                         F.struct(*order).alias(f"order_{kind}"), F.struct(*carried).alias(f"row_{kind}"))
+
+    lines = side(sched, 1, sched_qty, _plain(sched_order), sched_segment, payload)
+    gr = side(receipts, 0, receipt_qty, _plain(receipt_order), receipt_segment, list(receipt_cols))
+    events = lines.unionByName(gr, allowMissingColumns=True)
+    scanned = prefix_scan(events, ["key", "kind"], F.col("part"), [F.col("order_1"), F.col("order_0")],
+                          {"cum": ("sum", F.col("qty")), "rank": ("sum", F.lit(1))},
+                          whole={"n": ("sum", F.lit(1)), "width": ("sum", F.abs("qty"))}, whole_keys=["key"])
+    scanned = scanned.withColumn("rank", F.col("rank").cast("int")).where((F.col("kind") == 1) | F.col("cum").isNotNull())
+    parts = F.ceil(F.col("n") / SEGMENT_ROWS)
+    falling = F.when(F.col("width") > 0, -F.floor(F.col("cum").cast("double") / F.col("width").cast("double") * parts))
+    receipt = F.when(F.col("kind") == 0, F.struct("rank", "cum", "row_0"))
+    best = prefix_scan(scanned.withColumn("_receipt", receipt), ["key"], F.coalesce(falling, F.lit(0)).cast("long"),
+                       [F.col("cum").desc_nulls_last(), F.col("kind").asc()], {"_best": ("min", F.col("_receipt"))})
+    found = best.where("kind = 1").withColumn("_best", F.when(F.col("cum").isNotNull(), F.col("_best")))
+    return found.select(*[F.col("key")[k].alias(k) for k in keys], *[F.col("row_1")[c].alias(c) for c in payload],
+                        F.col("rank").alias(sched_rank), F.col("cum").alias(cum_sched), F.col("_best.rank").alias(gr_rank),
+                        F.col("_best.cum").alias(cum_gr), *[F.col("_best.row_0")[c].alias(c) for c in receipt_cols])
+
+
+def _plain(order: Sequence[Column]) -> list[Column]:
+    return [c.alias(f"o{i}") for i, c in enumerate(order)]

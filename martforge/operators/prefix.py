@@ -1,0 +1,51 @@
+"""Running aggregates over ordered groups of any size, without one task per group.
+
+A window ``PARTITION BY key ORDER BY o`` sends a whole group to one task. Here a group is cut into
+segments along its order (``segment`` is a coarse function of the order that never decreases along
+it: the month of a date, a range of quantities). Three steps, one lazy plan:
+
+1. rows are exchanged once on (key, segment) and aggregated within their segment;
+2. one total per segment, from the same exchange, is run up over the segments of a key;
+3. what came before a segment is joined back to its rows and combined.
+
+The plan is the same for every group size; no job runs while it is built, nothing is broadcast or
+sampled. A task holds one segment, and in step 2 one row per segment of a key.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+_FOLD = {"sum": F.sum, "min": F.min}
+
+
+def _both(op: str, before: Column, own: Column) -> Column:
+    if op == "min":
+        return F.least(before, own)
+    return F.when(before.isNull(), own).when(own.isNull(), before).otherwise(before + own)  # NULL only if all are
+
+
+def prefix_scan(df: DataFrame, keys: Sequence[str], segment: Column, order: Sequence[Column], running: Mapping[str, tuple[str, Column]],
+                whole: Mapping[str, tuple[str, Column]] | None = None, whole_keys: Sequence[str] | None = None) -> DataFrame:
+    """Add running aggregates from the start of a group to each row, and aggregates of whole groups.
+
+    ``running`` and ``whole`` map new columns to (``sum`` or ``min``, expression). ``order`` must be
+    total within a group for sums. ``whole_keys`` (a subset of ``keys``) are the groups of ``whole``.
+    NULL keys and segments are values like others.
+    """
+    whole, outer = whole or {}, list(whole_keys or keys)
+    x = (df.withColumn("_outer", F.struct(*outer)).withColumn("_group", F.struct(*keys)).withColumn("_segment", F.struct(segment.alias("s")))
+         .repartition("_outer", "_group", "_segment"))
+    place = ["_outer", "_group", "_segment"]
+    inside = Window.partitionBy(*place).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = x.withColumns({f"_own_{n}": _FOLD[op](e).over(inside) for n, (op, e) in running.items()})
+    totals = x.groupBy(*place).agg(*[_FOLD[op](e).alias(f"_all_{n}") for n, (op, e) in {**running, **whole}.items()])
+    if whole:
+        totals = totals.withColumns({n: _FOLD[op](f"_all_{n}").over(Window.partitionBy("_outer")) for n, (op, _) in whole.items()})
+    earlier = Window.partitionBy("_outer", "_group").orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(*place, *whole, *[_FOLD[op](f"_all_{n}").over(earlier).alias(f"_before_{n}") for n, (op, _) in running.items()])
+    out = rows.join(before, place)
+    return out.select(*df.columns, *[_both(op, F.col(f"_before_{n}"), F.col(f"_own_{n}")).alias(n) for n, (op, _) in running.items()], *whole)

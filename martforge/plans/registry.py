@@ -68,7 +68,7 @@ def running_qty(spark: SparkSession, sf_dir: str) -> DataFrame:
     eket = (_src(spark, sf_dir).scoped("EKET", cfg).filter(in_doc_range(cfg.po_range))
             .select("EBELN", "EBELP", "ETENR", "EINDT", F.col("MENGE").alias("sched_menge")))
     out = running_total(eket, ["EBELN", "EBELP"], [F.col("EINDT"), F.col("ETENR")], "sched_menge",
-                        "cum_sched_qty", rank="sched_rank", hot_threshold=cfg.hot_group_rows)
+                        "cum_sched_qty", rank="sched_rank", segment=F.substring("EINDT", 1, 6))
     return out.withColumn("cum_sched_qty", F.col("cum_sched_qty").cast(QTY))
 
 
@@ -91,7 +91,8 @@ def _completion_on_items(spark: SparkSession, sf_dir: str, item_cols) -> DataFra
         F.date_add("due", 7).alias("received"), F.col("qty").alias("r_qty"))
     out = completion_match(sched, receipts, keys, [F.col("due"), F.col("ord"), F.col("line"), F.col("part")], "qty",
                            [F.col("received"), F.col("r_ord"), F.col("r_line"), F.col("r_part")], "r_qty",
-                           ["received", "r_ord", "r_line"], hot_threshold=DRIVER_CONFIG.hot_group_rows)
+                           ["received", "r_ord", "r_line"], sched_segment=F.date_format("due", "yyyyMM"),
+                           receipt_segment=F.date_format("received", "yyyyMM"))
     return out.select(*keys, "ord", "line", "part", "sched_rank", F.col("cum_sched_qty").cast(QTY).alias("cum_sched_qty"),
                       "gr_rank", F.col("cum_gr_qty").cast(QTY).alias("cum_gr_qty"), "received", "r_ord", "r_line")
 
@@ -106,6 +107,11 @@ def completion_supplier_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _completion_on_items(spark, sf_dir, [F.col("l_suppkey")])
 
 
+def completion_hot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completion matching with two items (line status): each holds a large share of all lines."""
+    return _completion_on_items(spark, sf_dir, [F.col("l_linestatus")])
+
+
 def bom_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multi-level explosion aggregated by level: rows and summed per-parent quantity."""
     exploded = bom.bill_of_materials(_src(spark, sf_dir), DRIVER_CONFIG)
@@ -162,6 +168,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "running_qty": running_qty,
     "completion_dense_items": completion_dense_items,
     "completion_supplier_items": completion_supplier_items,
+    "completion_hot_items": completion_hot_items,
     "po_lines_status": _mart(purchasing.purchase_order),
     "sto_lines_status": _mart(purchasing.stock_transfer),
     "pr_gr_linkage": _mart(purchasing.purchase_requisition),

@@ -550,6 +550,18 @@ SELECT {keys}, ord, line, part, sched_rank, cast(cum_sched_qty AS decimal(18,3))
 FROM m WHERE rn = 1"""
 
 
+def _completion_asof(item: str) -> str:
+    """The same match for items of very many lines: quantities are positive, so the first receipt that
+    reaches a line's cumulative quantity is the one with the smallest cumulative quantity that does."""
+    textbook = _completion_items([item])
+    head = textbook[:textbook.index("m AS (")].rstrip().rstrip(",")
+    return head + """
+SELECT s.item_0, s.ord, s.line, s.part, sched_rank, cast(cum_sched_qty AS decimal(18,3)) AS cum_sched_qty, gr_rank,
+  cast(cum_gr_qty AS decimal(18,3)) AS cum_gr_qty, received, r_ord, r_line
+FROM s ASOF LEFT JOIN r ON s.item_0 = r.item_0 AND s.cum_sched_qty <= r.cum_gr_qty"""
+
+
+SQL["completion_hot_items"] = _completion_asof("l_linestatus")
 SQL["completion_dense_items"] = _completion_items(["l_suppkey", "l_partkey % 20"])
 SQL["completion_supplier_items"] = _completion_items(["l_suppkey"])
 

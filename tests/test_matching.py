@@ -84,16 +84,31 @@ def test_randomised_equivalence_with_join_form(spark):
     assert a == b
 
 
-def test_running_total_shares_one_window(spark):
-    df = spark.createDataFrame([("a", 1, 5), ("a", 2, 7), ("b", 1, 1)], "k string, o int, q int")
-    out = running_total(df, ["k"], [F.col("o")], "q", "cum", rank="rk")
-    assert sorted(tuple(r) for r in out.select("k", "o", "cum", "rk").collect()) == [
-        ("a", 1, 5, 1), ("a", 2, 12, 2), ("b", 1, 1, 1)]
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+def test_running_total_by_segments(spark):
+    df = spark.range(0, 5000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("k"), F.col("id").alias("o"),
+                                      F.when(F.col("id") % 5 > 0, (F.col("id") % 7).cast("decimal(13,3)")).alias("q"))
+    w = Window.partitionBy("k").orderBy("o")
+    plain = df.select("k", "o", "q", F.sum("q").over(w).alias("cum"), F.row_number().over(w).alias("rk"))
+    for segment in (None, F.floor(F.col("o") / 100)):
+        out = running_total(df.repartition(3), ["k"], [F.col("o")], "q", "cum", rank="rk", segment=segment)
+        assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_sums_are_exact_without_ansi(spark):
+    rows = [("A", i, Decimal("900000000000000.001")) for i in range(20)]
+    df = spark.createDataFrame(rows, "k string, o int, q decimal(18,3)")
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        got = {r.o: r.cum for r in running_total(df, ["k"], [F.col("o")], "q", "cum").collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    assert got == {i: Decimal("900000000000000.001") * (i + 1) for i in range(20)}
+
+
+def test_large_groups_are_spread_with_same_result(spark, monkeypatch):
+    from martforge.operators import matching
 
-
-def test_hot_groups_take_segmented_path_with_same_result(spark):
     rnd = random.Random(11)
     sched, gr = [], []
     for g, (ns, nr) in enumerate([(400, 500), (3, 4), (0, 5), (6, 0), (250, 180)]):
@@ -106,30 +121,20 @@ def test_hot_groups_take_segmented_path_with_same_result(spark):
                        D(rnd.choice([None, 0, 1, 2, 4]))))
     s = spark.createDataFrame(sched, SCHED).repartition(3)
     r = spark.createDataFrame(gr, GR).repartition(3)
-    args = (["item"], [F.col("due"), F.col("line")], "qty", [F.col("posted"), F.col("doc")], "qty", ["doc"])
-    plain = completion_match(s, r, *args)
-    split = completion_match(s, r, *args, hot_threshold=50)
-    cols = ["item", "line", "sched_rank", "cum_sched_qty", "gr_rank", "cum_gr_qty", "doc"]
-    a = sorted(tuple(x) for x in plain.select(*cols).collect())
-    b = sorted(tuple(x) for x in split.select(*cols).collect())
-    assert len(a) == len(sched) and a == b
-    assert "__seg" in split._jdf.queryExecution().executedPlan().toString()  # segmented path taken
-
-
-def test_running_total_hot_path(spark):
-    df = spark.range(0, 5000).select((F.col("id") % 3).alias("k"), F.col("id").alias("o"),
-                                      (F.col("id") % 7).cast("decimal(13,3)").alias("q"))
-    a = running_total(df, ["k"], [F.col("o")], "q", "cum", rank="rk")
-    b = running_total(df, ["k"], [F.col("o")], "q", "cum", rank="rk", hot_threshold=100)
-    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
-
-
-def test_hot_keys_sampled_and_exact(spark):
-    from martforge.operators.skew import hot_keys
-
-    df = spark.range(0, 200_000).select(
-        F.when(F.col("id") < 120_000, F.lit("big")).when(F.col("id") < 150_000, F.lit("mid"))
-         .otherwise(F.concat(F.lit("k"), (F.col("id") % 5000).cast("string"))).alias("k"))
-    assert sorted(r.k for r in hot_keys(df, ["k"], 20_000).collect()) == ["big", "mid"]   # sampled path
-    assert sorted(r.k for r in hot_keys(df, ["k"], 50_000).collect()) == ["big"]
-    assert sorted(r.k for r in hot_keys(df, ["k"], 50).collect()) == ["big", "mid"]       # exact path (fraction 1)
+    monkeypatch.setattr(matching, "SEGMENT_ROWS", 20)
+    out = completion_match(s, r, ["item"], [F.col("due"), F.col("line")], "qty", [F.col("posted"), F.col("doc")], "qty", ["doc"],
+                           sched_segment=F.substring("due", 1, 6), receipt_segment=F.substring("posted", 1, 6))
+    a = sorted(tuple(x) for x in out.select("item", "line", "gr_rank", "doc").collect())
+    assert len(a) == len(sched) and a == sorted(tuple(x) for x in join_form(s, r).collect())
+
+
+def test_planning_starts_no_job(spark):
+    s = spark.createDataFrame([("A", "20240101", "1", D(1))], SCHED)
+    r = spark.createDataFrame([("A", "20240101", "G", D(1))], GR)
+    group = "planning-of-completion-match"
+    spark.sparkContext.setJobGroup(group, "no job expected")
+    try:
+        completion_match(s, r, ["item"], [F.col("due"), F.col("line")], "qty", [F.col("posted"), F.col("doc")], "qty", ["doc"])
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
