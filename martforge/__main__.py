@@ -28,6 +28,8 @@ def main(argv=None) -> None:
     p.add_argument("--client", default="400")
     p.add_argument("--language", default="E")
     p.add_argument("--as-of", help="reference date (default: today)")
+    p.add_argument("--surrogate-key", action="store_true", help="put the key column in front (always done for tables)")
+    p.add_argument("--bom-depth-first", action="store_true", help="write the explosion with its sort path, depth first")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("martforge-refresh").getOrCreate()
     if a.parquet_sources:
@@ -36,12 +38,12 @@ def main(argv=None) -> None:
         catalog, _, schema = a.catalog_schema.rpartition(".")
         sources = CatalogSources(spark, schema, catalog or None)
     cfg = MartConfig(client=a.client, language=a.language,
-                     as_of=dt.date.fromisoformat(a.as_of) if a.as_of else None)
+                     as_of=dt.date.fromisoformat(a.as_of) if a.as_of else None, bom_depth_first=a.bom_depth_first)
     if a.create_tables:
         create_tables(spark, a.target)
     names = a.marts.split(",") if a.marts else None
-    for name in refresh_marts(sources, cfg, a.target, names, as_tables=a.as_tables):
-        print(f"refreshed {name}")
+    for name, rows in refresh_marts(sources, cfg, a.target, names, as_tables=a.as_tables, surrogate_key=a.surrogate_key or None).items():
+        print(f"refreshed {name}: {rows} rows")
 
 
 if __name__ == "__main__":

@@ -1,8 +1,8 @@
 """The 26 marts: build function, declared schema and table comment, plus a full refresh.
 
 ``refresh_marts`` is what a scheduled job runs: every mart is built from the sources,
-projected onto its declared schema and written as a full refresh (one Spark job per mart;
-marts do not read each other, so any subset can run in any order).
+projected onto its declared schema and written as a full refresh. Marts do not read each
+other, so any subset can run in any order; most are one job, the explosion one per level.
 """
 
 from __future__ import annotations
@@ -10,13 +10,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from martforge.config import MartConfig
 from martforge.plans import bom, codes, controlling, materials, partners, purchasing
+from martforge.plans.comments import KEY, documented
+from martforge.session import scratch
 from martforge.sources.base import Sources
-from martforge.sources.schemas import Col
-from martforge.sources.sinks import create_mart_tables, write_mart
+from martforge.sources.schemas import Col, conform
+from martforge.sources.sinks import create_mart_tables, with_surrogate_key, write_mart
 
 
 class Mart(NamedTuple):
@@ -24,6 +27,7 @@ class Mart(NamedTuple):
     schema: list[Col]
     comment: str
     keep_table_schema: bool = False
+    listing: list[Col] | None = None  # with ``cfg.bom_depth_first``
 
 
 MARTS: dict[str, Mart] = {
@@ -40,7 +44,8 @@ MARTS: dict[str, Mart] = {
     "approved_mfg_part_list": Mart(materials.approved_mfg_part_list, materials.APPROVED_MFG_PART_LIST,
                                    "Approved manufacturer parts by plant", keep_table_schema=True),
     "bill_of_materials": Mart(bom.bill_of_materials, bom.BILL_OF_MATERIALS,
-                              "Multi-level bill-of-materials explosion", keep_table_schema=True),
+                              "Multi-level bill-of-materials explosion", keep_table_schema=True,
+                              listing=bom.BILL_OF_MATERIALS_LISTING),
     "material_details": Mart(materials.material_details, materials.MATERIAL_DETAILS,
                              "Material x plant master data with planning and valuation"),
     "material_usage": Mart(materials.material_usage, materials.MATERIAL_USAGE,
@@ -73,25 +78,33 @@ MARTS: dict[str, Mart] = {
 
 
 def create_tables(spark, database: str, fmt: str = "parquet") -> list[str]:
-    """``CREATE DATABASE`` + one documented ``CREATE TABLE IF NOT EXISTS`` per mart."""
-    return create_mart_tables(spark, database, {n: (m.schema, m.comment) for n, m in MARTS.items()}, fmt)
+    """``CREATE DATABASE`` and one ``CREATE TABLE IF NOT EXISTS`` per mart: the key column, then the
+    declared columns, each with a comment."""
+    return create_mart_tables(spark, database, {n: ([KEY, *documented(m.schema)], m.comment) for n, m in MARTS.items()}, fmt)
 
 
 def refresh_marts(src: Sources, cfg: MartConfig, target: str, names: Iterable[str] | None = None,
-                  as_tables: bool = False, fmt: str = "parquet") -> list[str]:
-    """Full refresh of the named marts (all by default).
+                  as_tables: bool = False, fmt: str = "parquet", surrogate_key: bool | None = None) -> dict[str, int]:
+    """Full refresh of the named marts (all by default); returns the rows written per mart.
 
     ``target`` is a folder (one sub-folder per mart) or, with ``as_tables``, a database in
     which ``create_tables`` has run; marts declared with a fixed table schema are then
-    replaced row-wise by name, the others overwritten.
+    replaced row-wise by name, the others overwritten. ``surrogate_key`` puts the key column
+    in front (by default for tables only). Rows are counted while they are written. What a mart
+    checkpointed in the shared folder is removed once it is written.
     """
-    done = []
+    keyed = as_tables if surrogate_key is None else surrogate_key
+    done: dict[str, int] = {}
     for name in (list(names) if names is not None else list(MARTS)):
         mart = MARTS[name]
-        df = mart.build(src, cfg)
-        if as_tables:
-            write_mart(df, f"{target}.{name}", mart.schema, fmt=fmt, table=True, keep_table_schema=mart.keep_table_schema)
-        else:
-            write_mart(df, f"{target.rstrip('/')}/{name}", mart.schema, fmt=fmt)
-        done.append(name)
+        with scratch(src.spark):
+            schema = documented(mart.listing if mart.listing and cfg.bom_depth_first else mart.schema)
+            df = conform(mart.build(src, cfg), schema)
+            if keyed:
+                df, schema = with_surrogate_key(df, [c.name for c in schema], KEY.name, "dense"), [KEY, *schema]
+            seen = Observation(f"refresh of {name}")
+            df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+            where = f"{target}.{name}" if as_tables else f"{target.rstrip('/')}/{name}"
+            write_mart(df, where, schema, fmt=fmt, table=as_tables, keep_table_schema=as_tables and mart.keep_table_schema and not (mart.listing and cfg.bom_depth_first))
+            done[name] = seen.get["rows"]
     return done

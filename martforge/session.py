@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -44,3 +47,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="martforge-ckpt-"))
     return sc.getCheckpointDir()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Checkpoints made inside go to a folder of their own, which is removed at the end."""
+    sc, outer = spark.sparkContext, checkpoint_dir(spark)
+    path_of = sc._jvm.org.apache.hadoop.fs.Path
+    own = f"{outer.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    sc.setCheckpointDir(own)
+    try:
+        yield own
+    finally:
+        path_of(own).getFileSystem(sc._jsc.hadoopConfiguration()).delete(path_of(own), True)
+        sc.setCheckpointDir(path_of(outer).getParent().toString())

@@ -12,7 +12,7 @@ The same shapes are written independently in SQL for DuckDB in ``oracle/shapes.p
 
 from __future__ import annotations
 
-import os
+import hashlib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -104,7 +104,7 @@ class DriverSources(Sources):
             if self.stage:
                 from martforge.session import checkpoint_dir
 
-                folder = f"sf-{abs(hash(self.sf_dir)) % 10**12}"
+                folder = f"sf-{hashlib.sha256(self.sf_dir.encode()).hexdigest()[:16]}"
                 path = f"{checkpoint_dir(self.spark).rstrip('/')}/staged/{self._session}/{folder}/{name}"
                 df.write.mode("overwrite").parquet(path)
                 df = self.spark.read.parquet(path)
@@ -118,7 +118,7 @@ class DriverSources(Sources):
         sort, deterministic on retry). (Planning only: no job is started.)"""
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         key = self.SPREAD_KEYS.get(name)
-        if key and os.environ.get("MARTFORGE_NO_SPREAD") is None:
+        if key:
             want = self.spark.sparkContext.defaultParallelism
             if df.rdd.getNumPartitions() < want:
                 df = df.repartition(want, key)

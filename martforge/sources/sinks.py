@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -22,7 +23,7 @@ def write_mart(df: DataFrame, target: str, schema: Sequence[Col] | None = None,
     if schema is not None:
         df = conform(df, schema)
     if table and keep_table_schema:
-        view = f"__martforge_src_{abs(hash(target))}"
+        view = f"__martforge_src_{uuid.uuid4().hex}"
         df.createOrReplaceTempView(view)
         try:
             df.sparkSession.sql(f"INSERT OVERWRITE TABLE {target} BY NAME SELECT * FROM {view}")
@@ -91,9 +92,3 @@ def with_surrogate_key(df: DataFrame, keys: Sequence[str], name: str = "surrogat
     local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)
     numbered = tagged.join(F.broadcast(offsets), "__pid")
     return numbered.select((F.col("__off") + local + 1).alias(name), *df.columns)
-
-
-def dense_rank_key(df: DataFrame, keys: Sequence[str], name: str = "surrogate_id") -> DataFrame:
-    """Reference form of the dense key (a global window): only for small frames."""
-    w = Window.orderBy(*[F.col(k).asc_nulls_first() for k in keys])
-    return df.select(F.row_number().over(w).cast("long").alias(name), *df.columns)
