@@ -20,12 +20,12 @@ class MartConfig:
     # Lexical document-number ranges on the zero-padded EBELN.
     po_range: tuple[str, str] = ("0004000000", "0004999999")
     sto_range: tuple[str, str] = ("0003000000", "0003999999")
-    # Storage-location dimension is limited to these plants.
-    storage_plants: tuple[str, ...] = ("4002", "4019", "4020", "4021", "4022")
+    # Plants of the storage-location dimension; the deployment must name them.
+    storage_plants: tuple[str, ...] = ()
     # Special-stock indicators kept from vendor stock (MSSL).
     vendor_stock_kinds: tuple[str, ...] = ("O", "V")
-    # Controlling area for profit centers.
-    controlling_area: str = "BUMN"
+    # Controlling area of the profit centers; the deployment must name it.
+    controlling_area: str | None = None
     # Bill of materials.
     # Levels of the explosion; None returns every level (cycles end at their closing row).
     bom_max_levels: int | None = None

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -33,18 +33,23 @@ def stack_sources(specs: Sequence[StackSpec], order: Sequence[str] | None = None
     return reduce(DataFrame.unionByName, frames)
 
 
-def enrich(df: DataFrame, dim: DataFrame, on, how: str = "left", check_unique: Sequence[str] | None = None) -> DataFrame:
+def enrich(df: DataFrame, dim: DataFrame, on, how: str = "left", check_unique: bool = True) -> DataFrame:
     """Join a dimension onto a fact frame.
 
     ``on`` is a column name, a list of names (USING join) or a join condition. No broadcast
     hint is forced: the planner broadcasts a side whose estimated size (file statistics) is
     under ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-plans from the measured size
     of the materialised shuffle stage; larger dimensions stay a sort-merge join with AQE
-    skew splitting. ``check_unique`` runs an explicit job asserting that the dimension has
-    one row per key, so the join cannot fan the fact rows out (used by tests).
+    skew splitting. With column names, the dimension must have one row per key, so that the join
+    cannot fan the fact rows out: a second row of a key fails the query when it runs
+    (``check_unique=False`` allows it). The check shares the exchange of the join.
     """
-    if check_unique:
-        dup = dim.groupBy(*check_unique).count().filter(F.col("count") > 1).limit(1).count()
-        if dup:
-            raise ValueError(f"dimension key {list(check_unique)} is not unique")
+    keys = [on] if isinstance(on, str) else on
+    if check_unique and isinstance(keys, (list, tuple)) and all(isinstance(k, str) for k in keys):
+        n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+        known = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+        said = F.raise_error(F.concat(F.lit(f"dimension key {list(keys)} is not unique: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])))
+        rest = [c for c in dim.columns if c not in keys]
+        dim = (dim.where(known).withColumn("_n", n)
+               .select(*keys, *[F.when(F.col("_n") == 1, F.col(c)).otherwise(said.cast(dim.schema[c].dataType)).alias(c) for c in rest]))
     return df.join(dim, on, how)

@@ -10,6 +10,7 @@ from martforge.config import MartConfig
 from martforge.functions import codes as C
 from martforge.functions.codes import decode_codes
 from martforge.plans.common import strip
+from martforge.operators.combine import enrich
 from martforge.sources.base import Sources
 from martforge.sources.schemas import cols, conform
 
@@ -33,8 +34,11 @@ PAYMENT_TERMS = cols(["payment_terms", "description", "baseline_date"])
 
 
 def payment_terms(src: Sources, cfg: MartConfig) -> DataFrame:
-    texts = src.scoped("T052U", cfg, language=True).select("ZTERM", "TEXT1")
-    df = src.scoped("T052", cfg).join(texts, "ZTERM", "left")
+    """Payment terms with text, one row per term and day limit (ZTAGG, where the tables have it)."""
+    terms = src.scoped("T052", cfg)
+    texts = src.scoped("T052U", cfg, language=True)
+    key = [c for c in ("ZTERM", "ZTAGG") if c in terms.columns and c in texts.columns]
+    df = enrich(terms, texts.groupBy(*key).agg(F.min("TEXT1").alias("TEXT1")), key)
     return conform(df.select(F.col("ZTERM").alias("payment_terms"), F.col("TEXT1").alias("description"),
                              F.col("ZTAG1").alias("baseline_date")), PAYMENT_TERMS)
 
@@ -82,6 +86,8 @@ STORAGE_LOCATIONS = cols(["plant", "storage_location", "description"])
 
 
 def storage_locations(src: Sources, cfg: MartConfig) -> DataFrame:
+    if not cfg.storage_plants:
+        raise ValueError("MartConfig.storage_plants names the plants of this dimension")
     df = src.scoped("T001L", cfg).filter(F.col("WERKS").isin(*cfg.storage_plants))
     return conform(df.select(F.col("WERKS").alias("plant"), strip("LGORT", "storage_location"),
                              F.col("LGOBE").alias("description")), STORAGE_LOCATIONS)

@@ -27,6 +27,8 @@ def profit_center(src: Sources, cfg: MartConfig) -> DataFrame:
     Leaves are level-4 nodes (department, site, top above them) and level-3 nodes without
     children (site and top; no department). Centers absent from the tree keep NULL tiers.
     """
+    if not cfg.controlling_area:
+        raise ValueError("MartConfig.controlling_area names the controlling area of this dimension")
     area = F.col("KOKRS") == cfg.controlling_area
     cepc = active_only(src.scoped("CEPC", cfg).filter(area)).select("PRCTR", "LOCK_IND")
     cepct = active_only(src.scoped("CEPCT", cfg, language=True).filter(area)).select("PRCTR", "KTEXT")

@@ -32,6 +32,8 @@ AS_OF = dt.date(2000, 1, 1)
 # Synthetic affiliate configuration for the driver data (company data in a real deployment).
 DRIVER_CONFIG = MartConfig(
     as_of=AS_OF,
+    storage_plants=("4001", "4005", "4010"),
+    controlling_area="CA01",
     customer_name_patterns=("er#0000001", "ER#0000005"),
     customer_labels={"0000000101": "SITE NORTH", "0000000150": "SITE NORTH", "C109": "SITE EAST",
                      "0000000512": "SITE WEST"},

@@ -31,7 +31,6 @@ MATERIAL_TYPES = ["ZERT", "ZALB", "ZERP", "ZHMI", "ZIBE", "ZIEN", "ZLAG", "ZROC"
 # Sales document types for nations 0..18; nations 19.. get unknown codes.
 DOC_TYPES = ["ZAP", "ZOR", "ZPOR", "ZRC1", "ZRS1", "ZIN", "ZLI", "ZLP", "ZLPU", "ZLN",
              "ZPQT", "ZQT", "ZPRE", "ZRE", "ZRC", "ZRC3", "ZRS", "ZRS2", "ZRS3"]
-# Item categories for even nation keys; odd keys get unknown codes.
 ITEM_CATEGORIES = ["AFTX", "DLP", "ZADD", "ZTAX", "ZBFB", "ZPI", "ZSER", "ZPRR", "G2N",
                    "TANN", "ZWVQ", "L2N", "ZKOM"]
 
@@ -473,9 +472,13 @@ class DriverSources(Sources):
         return current.unionByName(future)
 
     # ----------------------------------------------------------------- code and text tables
+    def _codebook(self) -> DataFrame:
+        """Keys and names that the code tables are made of: one per customer, so they grow with the data."""
+        return self.raw("customer").select(F.col("c_custkey").alias("n_nationkey"), F.col("c_name").alias("n_name"))
+
     def _nation_codes(self, code: Column, code_name: str, text_name: str, text_table: bool,
                       extra: dict | None = None) -> DataFrame:
-        n = self.raw("nation")
+        n = self._codebook()
         key = F.col("n_nationkey")
         if not text_table:
             cols = [F.lit("400").alias("MANDT"), code.alias(code_name)]
@@ -490,14 +493,14 @@ class DriverSources(Sources):
     @staticmethod
     def _bwart() -> Column:
         key = F.col("n_nationkey")
-        return (F.lit(100) + key * 10 + key % 3).cast("string")
+        return (F.lit(100) + key).cast("string")
 
     def _t_t156(self) -> DataFrame:
         return self._nation_codes(self._bwart(), "BWART", "", False)
 
     def _t_t156t(self) -> DataFrame:
         base = self._nation_codes(self._bwart(), "BWART", "BTEXT", True)
-        n = self.raw("nation")
+        n = self._codebook()
         key = F.col("n_nationkey")
         dup = n.filter((key % 4 == 0) & (key % 8 != 7)).select(
             F.lit("400").alias("MANDT"), self._bwart().alias("BWART"), F.lit("E").alias("SPRAS"),
@@ -509,25 +512,32 @@ class DriverSources(Sources):
 
     @staticmethod
     def _zterm() -> Column:
-        return F.concat(F.lit("Z"), pad(F.col("n_nationkey"), 3))
+        return F.concat(F.lit("Z"), pad(F.col("n_nationkey"), 9))
 
     def _t_t052(self) -> DataFrame:
-        return self._nation_codes(self._zterm(), "ZTERM", "", False,
-                                  {"ZTAG1": ((F.col("n_nationkey") % 4) * 15).cast("string")})
+        key = F.col("n_nationkey")
+        base = self._nation_codes(self._zterm(), "ZTERM", "", False, {"ZTAGG": F.lit("00"), "ZTAG1": ((key % 4) * 15).cast("string")})
+        later = self._codebook().filter(key % 5 == 0).select(F.lit("400").alias("MANDT"), self._zterm().alias("ZTERM"),
+                                                             F.lit("15").alias("ZTAGG"), F.lit("45").alias("ZTAG1"))
+        return base.unionByName(later)
 
     def _t_t052u(self) -> DataFrame:
-        return self._nation_codes(self._zterm(), "ZTERM", "TEXT1", True)
+        base = self._nation_codes(self._zterm(), "ZTERM", "TEXT1", True).withColumn("ZTAGG", F.lit("00"))
+        later = self._codebook().filter(F.col("n_nationkey") % 5 == 0).select(
+            F.lit("400").alias("MANDT"), self._zterm().alias("ZTERM"), F.lit("E").alias("SPRAS"),
+            F.concat(F.col("n_name"), F.lit(" 15")).alias("TEXT1"), F.lit("15").alias("ZTAGG"))
+        return base.unionByName(later)
 
     def _t_t024(self) -> DataFrame:
-        n = self.raw("nation")
+        n = self._codebook()
         key = F.col("n_nationkey")
         return n.select(F.when(key % 5 == 4, "300").otherwise("400").alias("MANDT"),
-                        F.concat(F.lit("G"), pad(key, 2)).alias("EKGRP"), F.col("n_name").alias("EKNAM"))
+                        F.concat(F.lit("G"), pad(key, 9)).alias("EKGRP"), F.col("n_name").alias("EKNAM"))
 
     @staticmethod
     def _auart() -> Column:
         key = F.col("n_nationkey")
-        return F.when(key < len(DOC_TYPES), pick(DOC_TYPES, key)).otherwise(F.concat(F.lit("Y"), pad(key, 3)))
+        return F.coalesce(F.get(F.array(*[F.lit(v) for v in DOC_TYPES]), key.cast("int")), F.concat(F.lit("Y"), pad(key, 9)))
 
     def _t_tvak(self) -> DataFrame:
         return self._nation_codes(self._auart(), "AUART", "", False)
@@ -537,30 +547,29 @@ class DriverSources(Sources):
 
     def _t_tvapt(self) -> DataFrame:
         key = F.col("n_nationkey")
-        code = F.when(key % 2 == 0, pick(ITEM_CATEGORIES, (key / 2).cast("int"))).otherwise(
-            F.concat(F.lit("Y"), pad(key, 3)))
+        code = F.coalesce(F.get(F.array(*[F.lit(v) for v in ITEM_CATEGORIES]), key.cast("int")), F.concat(F.lit("Y"), pad(key, 9)))
         return self._nation_codes(code, "PSTYV", "VTEXT", True)
 
     def _t_tvagt(self) -> DataFrame:
         key = F.col("n_nationkey")
-        code = F.when(key == 24, "Z5").otherwise(pad(key + 8, 2))
+        code = F.when(key == 24, "Z5").when(key < 92, pad(key + 8, 2)).otherwise(pad(key, 9))
         return self._nation_codes(code, "ABGRU", "BEZEI", True)
 
     def _t_tvlst(self) -> DataFrame:
-        return self._nation_codes(pad(F.col("n_nationkey"), 2), "LIFSP", "VTEXT", True)
+        return self._nation_codes(pad(F.col("n_nationkey"), 9), "LIFSP", "VTEXT", True)
 
     def _t_tvfst(self) -> DataFrame:
-        return self._nation_codes(pad(F.col("n_nationkey"), 2), "FAKSP", "VTEXT", True)
+        return self._nation_codes(pad(F.col("n_nationkey"), 9), "FAKSP", "VTEXT", True)
 
     def _t_t001l(self) -> DataFrame:
-        n = self.raw("nation").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(2))))
+        n = self._codebook().withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(2))))
         k = F.col("k")
         return n.select(F.lit("400").alias("MANDT"), (F.lit(4000) + F.col("n_nationkey")).cast("string").alias("WERKS"),
                         F.when(k == 2, "A001").otherwise(pad(k, 4)).alias("LGORT"), F.col("n_name").alias("LGOBE"))
 
     # ----------------------------------------------------------------- controlling
     def _cost_keys(self) -> DataFrame:
-        n = self.raw("nation").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(1))))
+        n = self._codebook().withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(1))))
         n = n.filter((F.col("k") == 0) | (F.col("n_nationkey") % 2 == 0))
         return n.select("n_nationkey", "n_name", pad(F.col("n_nationkey"), 10).alias("KOSTL"), F.lit("CA01").alias("KOKRS"),
                         F.when(F.col("k") == 0, "99991231").otherwise("20201231").alias("DATBI"))
@@ -611,7 +620,7 @@ class DriverSources(Sources):
         reg = self.raw("region").select(
             F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("PRCTR"), F.col("r_name").alias("name"),
             F.lit("99991231").alias("DATBI"), F.lit("").alias("LOCK_IND"))
-        return reduce(DataFrame.unionByName, [cust, nat, reg]).withColumn("KOKRS", F.lit("BUMN"))
+        return reduce(DataFrame.unionByName, [cust, nat, reg]).withColumn("KOKRS", F.lit("CA01"))
 
     def _t_cepc(self) -> DataFrame:
         return self._profit_keys().select(F.lit("400").alias("MANDT"), "PRCTR", "KOKRS", "DATBI", "LOCK_IND")

@@ -449,10 +449,10 @@ SQL["hierarchy_ragged"] = with_shapes(["PROFIT_CENTER_HIERARCHY", "CEPC", "CEPCT
 SELECT c.PRCTR AS profit_center, t.KTEXT AS description, c.LOCK_IND AS lock_indicator, tiers.level_3_dept,
   tiers.level_3_dept_desc, tiers.level_2_site, tiers.level_2_site_desc, tiers.level_1_top, tiers.level_1_top_desc
 FROM CEPC c
-LEFT JOIN (SELECT PRCTR, KTEXT FROM CEPCT WHERE MANDT = '400' AND KOKRS = 'BUMN' AND DATBI = '99991231'
+LEFT JOIN (SELECT PRCTR, KTEXT FROM CEPCT WHERE MANDT = '400' AND KOKRS = 'CA01' AND DATBI = '99991231'
            AND SPRAS = 'E') t ON t.PRCTR = c.PRCTR
 LEFT JOIN tiers ON tiers.node = c.PRCTR
-WHERE c.MANDT = '400' AND c.KOKRS = 'BUMN' AND c.DATBI = '99991231'""")
+WHERE c.MANDT = '400' AND c.KOKRS = 'CA01' AND c.DATBI = '99991231'""")
 
 SQL["leaf_nodes_anti"] = with_shapes(["PROFIT_CENTER_HIERARCHY"], """
 SELECT CHILD AS node, CHILD_DESC AS description, PARENT AS parent FROM PROFIT_CENTER_HIERARCHY n
@@ -498,7 +498,8 @@ WHERE d.MANDT = '400'""")
 
 SQL["text_dim_left"] = with_shapes(["T052", "T052U"], """
 SELECT p.ZTERM AS payment_terms, t.TEXT1 AS description, p.ZTAG1 AS baseline_date
-FROM T052 p LEFT JOIN (SELECT ZTERM, TEXT1 FROM T052U WHERE MANDT = '400' AND SPRAS = 'E') t ON t.ZTERM = p.ZTERM
+FROM T052 p LEFT JOIN (SELECT ZTERM, ZTAGG, TEXT1 FROM T052U WHERE MANDT = '400' AND SPRAS = 'E') t
+  ON t.ZTERM = p.ZTERM AND t.ZTAGG = p.ZTAGG
 WHERE p.MANDT = '400'""")
 
 SQL["code_text_dim"] = with_shapes(["TVFST"], """
@@ -512,7 +513,7 @@ SELECT EKGRP AS purchasing_group, EKNAM AS buyer_name FROM T024 WHERE MANDT = '4
 
 SQL["plants_in_list"] = with_shapes(["T001L"], f"""
 SELECT WERKS AS plant, {STRIP('LGORT')} AS storage_location, LGOBE AS description FROM T001L
-WHERE MANDT = '400' AND WERKS IN ('4002', '4019', '4020', '4021', '4022')""")
+WHERE MANDT = '400' AND WERKS IN ('4001', '4005', '4010')""")
 
 SQL["strip_zeros_both"] = with_shapes(["MARA"], f"""
 SELECT MATNR AS material_key, {STRIP('MATNR')} AS stripped, {STRIP_KEEP0('MATNR')} AS stripped_keep_zero

@@ -137,10 +137,11 @@ def test_enrich_checks_dimension_keys(spark):
     fact = spark.createDataFrame([("m1", 1), ("m2", 2)], "MATNR string, q int")
     good = spark.createDataFrame([("m1", "Bolt")], "MATNR string, MAKTX string")
     bad = spark.createDataFrame([("m1", "Bolt"), ("m1", "Nut")], "MATNR string, MAKTX string")
-    assert sorted(tuple(r) for r in enrich(fact, good, "MATNR", check_unique=["MATNR"]).collect()) == [
+    assert sorted(tuple(r) for r in enrich(fact, good, "MATNR").collect()) == [
         ("m1", 1, "Bolt"), ("m2", 2, None)]
-    with pytest.raises(ValueError):
-        enrich(fact, bad, "MATNR", check_unique=["MATNR"])
+    with pytest.raises(Exception, match="not unique: m1"):
+        enrich(fact, bad, "MATNR").collect()
+    assert enrich(fact, bad, "MATNR", check_unique=False).count() == 3
     stacked = stack_sources([StackSpec(fact, {"k": F.col("MATNR"), "kind": F.lit("A")}),
                              StackSpec(good, {"k": F.col("MATNR"), "kind": F.lit("B")})])
     assert sorted(tuple(r) for r in stacked.collect()) == [("m1", "A"), ("m1", "B"), ("m2", "A")]

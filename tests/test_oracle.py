@@ -1,6 +1,7 @@
 """Every registered query against its DuckDB oracle on the smallest driver scale."""
 
 import os
+import re
 
 import pytest
 
@@ -27,8 +28,9 @@ def test_query_matches_oracle(spark, con, key):
 
     df = queries()[key](spark, SF)
     sql = oracle_sql().get(key)
-    if sql is None:
-        assert df.count() >= 0
+    if sql is None:  # only training-data queries, which their own tests hold against brute force
+        assert re.match(r"op\d+_|pipeline$", key), "a query without SQL"
+        assert df.count() > 0
         return
     r = compare(df, con, sql)
     assert r["ok"], r
