@@ -122,9 +122,9 @@ class Scheme:
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    """Token bitmap: eight bits per element, a power of two from 64 to 131,072 bits."""
+    """Token bitmap: eight bits per element, four in large sets; a power of two from 64 to 131,072 bits."""
     bits = 64
-    while bits < 8 * len(s) and bits < 1 << 17:
+    while bits < (8 if len(s) < 2048 else 4) * len(s) and bits < 1 << 17:
         bits *= 2
     b = np.zeros(bits, np.uint8)
     b[(s & np.uint64(bits - 1)).astype(np.int64)] = 1
@@ -364,8 +364,11 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     comp = components(links)
     many = shared.where("c > 2").join(comp.select(F.col("id").alias("rep"), "component_id"), "rep", "left").select(
         "key", "rep", F.coalesce("component_id", "rep").alias("comp"))
-    many = stored(many, "open-sets")
-    open_roots = many.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 != c1").select("key")
+    many = stored(many.distinct(), "open-sets")
+    # Roots over the same sets are one tree: the first key stands for all.
+    open_roots = (many.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("c"),
+                                          F.bit_xor(F.xxhash64("rep")).alias("x0"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("x1"))
+                  .where("c0 != c1").groupBy("c", "x0", "x1").agg(F.min("key").alias("key")).select("key"))
     rows = stored(many.join(open_roots, "key", "left_semi"), "open-roots")
     more = verify(d, walk_roots(d, rows, percent, width), percent, width)
     final = components(links.unionByName(more).unionByName(tied))
