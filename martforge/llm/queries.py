@@ -199,3 +199,36 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = fit(docs, doc_id, text, F.col("lang"), ~held_out(doc_id))
     out = identify(docs, models, doc_id, text)
     return out.select("doc_id", held_out(doc_id).alias("held_out"), "lang_pred", "score", "entropy", "accepted")
+
+
+def _span_rows(kind: int, pattern: str, group: int) -> str:
+    """DuckDB rows (doc_id, source, kind, start, end, value) of all matches of a pattern; end exclusive."""
+    return f"""SELECT doc_id, source, {kind} AS kind, begin_ AS start, begin_ + length(hits[i]) AS stop, vals[i] AS value FROM (
+  SELECT doc_id, source, hits, vals, i, (list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+         + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0))::BIGINT AS begin_
+  FROM (SELECT doc_id, source, string_split_regex(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}') AS hits,
+               regexp_extract_all(t, '{pattern}', {group}) AS vals, unnest(range(1, len(regexp_extract_all(t, '{pattern}')) + 1)) AS i FROM d))"""
+
+
+SQL["op10_secret_scan"] = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, source FROM documents),
+base AS (
+  SELECT * FROM ({_span_rows(0, '''((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)''', 2)}) WHERE length(value) >= 6
+  UNION ALL SELECT * FROM ({_span_rows(1, 'AKIA[A-Z0-9]+', 0)}) WHERE length(value) >= 20
+  UNION ALL SELECT * FROM ({_span_rows(2, '[0-9a-f]{24,}', 0)}) WHERE length(value) >= 24),
+mixed AS (
+  SELECT * FROM ({_span_rows(3, '[A-Za-z0-9+/_-]{24,}', 0)}) m
+  WHERE length(value) >= 24 AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[0-9]')
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = m.doc_id AND b.start < m.stop AND m.start < b.stop)),
+both_ AS (SELECT * FROM base UNION ALL SELECT * FROM mixed),
+live AS (SELECT value FROM (SELECT DISTINCT value, source, doc_id FROM both_) GROUP BY value
+         HAVING count(DISTINCT source) + max((source IS NULL)::INT) <= 2 AND count(*) <= 20),
+spans AS (SELECT b.*, l.value IS NOT NULL AS live, ['assign', 'access', 'hex', 'mixed'][kind + 1] || ':' || start || ':' || stop AS said
+          FROM both_ b LEFT JOIN live l USING (value) WHERE kind < 3 OR l.value IS NOT NULL),
+s AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+             string_agg(said, ',' ORDER BY start, kind) FILTER (kind < 3) AS base, string_agg(said, ',' ORDER BY start, kind) AS spans,
+             count(*) FILTER (live) AS n_live FROM spans GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live
+FROM d LEFT JOIN s USING (doc_id)
+"""
