@@ -7,7 +7,7 @@ one shard, so leaves differ by little more than the documents at the cuts.
 
 A coordinate is a 48-bit number: 16 bits of the dimension and 32 bits of a digest of the row, so
 that rows with equal metadata still have an order and no cut is blocked by ties. The quantile of all
-nodes of a level is found together in three distributed histograms of 65,536 bins each (16 bits a
+nodes of a level is found together in four distributed histograms of 4,096 bins each (12 bits a
 round), summed up on the map side; per round only one row per node reaches the driver. The driver holds
 the cuts (one per inner node), never rows. Rows carry ids and sizes, no texts.
 """
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from martforge.llm.common import ranked, stored
 
-_BITS = 16
-_ROUNDS = 3
+_BITS = 12
+_ROUNDS = 4
 
 
 def log_scale(x: Column, steps: int = 1024) -> Column:
