@@ -122,9 +122,9 @@ class Scheme:
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    """Token bitmap: eight bits per element, four in large sets; a power of two from 64 to 131,072 bits."""
+    """Token bitmap: eight bits per element, four in sets of 256 and more; a power of two from 64 to 131,072 bits."""
     bits = 64
-    while bits < (8 if len(s) < 2048 else 4) * len(s) and bits < 1 << 17:
+    while bits < (8 if len(s) < 256 else 4) * len(s) and bits < 1 << 17:
         bits *= 2
     b = np.zeros(bits, np.uint8)
     b[(s & np.uint64(bits - 1)).astype(np.int64)] = 1
@@ -269,7 +269,8 @@ def walk_roots(docs: DataFrame, rows: DataFrame, percent: int, width: int) -> Da
 
     ``rows``: key, rep, comp: the sets under such roots.
     """
-    reps = rows.groupBy("rep").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    # Short names of the roots of a set: enough to tell a pair's first common root (a clash only repeats a pair).
+    reps = rows.groupBy("rep").agg(F.collect_set(F.hash("key")).alias("keys"))
 
     def maps(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -299,15 +300,15 @@ def walk_roots(docs: DataFrame, rows: DataFrame, percent: int, width: int) -> Da
     met = stored(met, "node-pairs")
     one = met.withColumn("node", F.col("left")).withColumn("side", F.lit(0))
     two = met.where("left != right").withColumn("node", F.col("right")).withColumn("side", F.lit(1))
-    sides = placed.join(one.unionByName(two), ["key", "node"]).select("key", F.xxhash64("left", "right").alias("pair"), "side", "rep", "comp")
-    group = (sides.join(about, "rep").select("key", "pair", "side", "rep", "comp", "n", "bits", "keys")
+    sides = placed.join(one.unionByName(two), ["key", "node"]).select("key", F.xxhash64("left", "right").alias("pair"), F.hash("key").alias("name"), "side", "rep", "comp")
+    group = (sides.join(about, "rep").select("key", "pair", "name", "side", "rep", "comp", "n", "bits", "keys")
              .repartition("key", "pair").sortWithinPartitions("key", "pair"))
 
     def walk(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for t in grouped_rows(batches, 2):
-            key = t.column("key")[0].as_py()
+            name = t.column("name")[0].as_py()
             c = {k: t.column(k).to_numpy() for k in ("side", "rep", "comp", "n")}
             raw, keys = t.column("bits").to_pylist(), t.column("keys").to_pylist()
             words = min(len(b) for b in raw) // 8
@@ -324,7 +325,7 @@ def walk_roots(docs: DataFrame, rows: DataFrame, percent: int, width: int) -> Da
             a, b = [], []
             for i, j in dual_walk(left, right, percent):
                 for p, q in zip(i.tolist(), j.tolist(), strict=True):
-                    if min(left["keys"][p] & other["keys"][q]) == key:  # the pair's first common root
+                    if min(left["keys"][p] & other["keys"][q]) == name:  # the pair's first common root
                         u, v = int(left["rep"][p]), int(other["rep"][q])
                         a.append(max(u, v))
                         b.append(min(u, v))
@@ -370,7 +371,7 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                                           F.bit_xor(F.xxhash64("rep")).alias("x0"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("x1"))
                   .where("c0 != c1").groupBy("c", "x0", "x1").agg(F.min("key").alias("key")).select("key"))
     rows = stored(many.join(open_roots, "key", "left_semi"), "open-roots")
-    more = verify(d, walk_roots(d, rows, percent, width), percent, width)
+    more = verify(d, walk_roots(d, rows, percent, width).distinct(), percent, width)
     final = components(links.unionByName(more).unionByName(tied))
     named = member.join(final.select(F.col("id").alias("rep"), "component_id"), "rep", "left").select(
         "doc_id", F.coalesce("component_id", "rep").alias("component_id")).groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
