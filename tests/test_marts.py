@@ -148,3 +148,20 @@ def test_movement_type_requires_text(spark):
     assert set(out) == {"101", "551"}
     assert out["101"].breakdown == "Goods Receipt" and out["101"].sap_description == "GR goods receipt"
     assert out["551"].breakdown == "Scrap" and out["551"].sap_description is None
+
+
+def test_payment_terms_by_day_limit(spark):
+    src = frames(spark,
+                 T052=("MANDT string, ZTERM string, ZTAGG string, ZTAG1 string", [("400", "Z1", "00", "0"), ("400", "Z1", "15", "30")]),
+                 T052U=("MANDT string, SPRAS string, ZTERM string, ZTAGG string, TEXT1 string",
+                        [("400", "E", "Z1", "00", "at once"), ("400", "E", "Z1", "15", "in 30 days")]))
+    got = sorted(tuple(r) for r in codes.payment_terms(src, MartConfig()).collect())
+    assert got == [("Z1", "at once", "0"), ("Z1", "in 30 days", "30")]
+
+
+def test_company_values_are_required(spark):
+    import pytest
+
+    src = frames(spark, T001L=("MANDT string, WERKS string, LGORT string, LGOBE string", [("400", "1", "1", "x")]))
+    with pytest.raises(ValueError, match="storage_plants"):
+        codes.storage_locations(src, MartConfig())

@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def _expected(spark):
-    return sorted(tuple(r) for r in codes.payment_terms(DriverSources(spark, SF), DRIVER_CONFIG).collect())
+    return sorted((tuple(r) for r in codes.payment_terms(DriverSources(spark, SF), DRIVER_CONFIG).collect()), key=str)
 
 
 def test_parquet_sources(spark):
@@ -18,7 +18,7 @@ def test_parquet_sources(spark):
     driver = DriverSources(spark, SF)
     for name in ("T052", "T052U"):
         driver.table(name).write.mode("overwrite").parquet(f"{root}/{name}")
-    got = sorted(tuple(r) for r in codes.payment_terms(ParquetSources(spark, root), DRIVER_CONFIG).collect())
+    got = sorted((tuple(r) for r in codes.payment_terms(ParquetSources(spark, root), DRIVER_CONFIG).collect()), key=str)
     assert got == _expected(spark) and got
 
 
@@ -29,7 +29,7 @@ def test_catalog_sources(spark):
     driver = DriverSources(spark, SF)
     for name in ("T052", "T052U"):
         driver.table(name).write.mode("overwrite").saveAsTable(f"{db}.{name}")
-    got = sorted(tuple(r) for r in codes.payment_terms(CatalogSources(spark, db), DRIVER_CONFIG).collect())
+    got = sorted((tuple(r) for r in codes.payment_terms(CatalogSources(spark, db), DRIVER_CONFIG).collect()), key=str)
     assert got == _expected(spark) and got
     spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
 
