@@ -32,7 +32,7 @@ from martforge.llm.common import small_side, stored
 UNKNOWN = "und"
 _SPACE = 32
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
-_BLOCK_CHARS = 1 << 20  # characters scored together
+_BLOCK_CHARS = 1 << 18  # characters scored together
 
 
 @functools.cache

@@ -53,7 +53,7 @@ class WordHash(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= 500_000:
+        if len(self) >= 150_000:
             self.clear()
         h = xxhash.xxh64_intdigest(word)
         if len(word) <= 64:
@@ -199,7 +199,7 @@ def describe_sets(docs: DataFrame, scheme: Scheme, width: int) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in (big.slice(a, 512) for big in batches for a in range(0, big.num_rows, 512)):
             n, d1, d2, keys = [], [], [], []
             for t in batch.column(1).to_pylist():
                 s = shingle_set(t, width)
@@ -231,7 +231,7 @@ def verify(docs: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataF
     def sets(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in (big.slice(a, 512) for big in batches for a in range(0, big.num_rows, 512)):
             found = [shingle_set(t, width).tobytes() for t in batch.column(4).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(found, pa.binary())], ["hub", "salt", "role", "doc_id", "s"])
 
@@ -275,7 +275,7 @@ def walk_roots(docs: DataFrame, rows: DataFrame, percent: int, width: int) -> Da
     def maps(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in (big.slice(a, 512) for big in batches for a in range(0, big.num_rows, 512)):
             s = [shingle_set(t, width) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in s], pa.int64()), pa.array([bitmap(x) for x in s], pa.binary())],
                                              ["rep", "n", "bits"])

@@ -17,10 +17,8 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import itertools
 import re
 from collections.abc import Callable, Iterator
-from operator import itemgetter
 
 from pyspark.sql import DataFrame
 
@@ -30,11 +28,11 @@ BLANK = "▁"
 class Memo(dict):
     """Answers of ``f`` for short strings, in two generations of at most ``most`` entries."""
 
-    def __init__(self, f: Callable[[str], tuple], most: int, longest: int = 64) -> None:
+    def __init__(self, f: Callable[[str], str], most: int, longest: int = 64) -> None:
         super().__init__()
         self.f, self.most, self.longest, self.old = f, most, longest, {}
 
-    def __missing__(self, s: str) -> tuple:
+    def __missing__(self, s: str) -> str:
         found = self.old.get(s)
         if found is None:
             found = self.f(s)
@@ -49,7 +47,7 @@ class Memo(dict):
 class PieceModel:
     """Vocabulary, automaton and pair checks of one model file."""
 
-    def __init__(self, path: str, remember: int = 250_000) -> None:
+    def __init__(self, path: str, remember: int = 200_000) -> None:
         import ahocorasick
         import sentencepiece
 
@@ -61,6 +59,7 @@ class PieceModel:
         self.text = {i: p for p, i in self.ids.items()}
         self.byte_ids = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.end_id = sp.eos_id()
+        self.number = {str(i): i for i in range(n)}
         self.joined = {p[k: k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.automaton = ahocorasick.Automaton()
         for p, i in self.ids.items():
@@ -109,7 +108,7 @@ class PieceModel:
         if known is None:
             a, b = self.text[left], self.text[right]
             known = (a[-1] + b[0]) not in self.joined or self._merge(a + b) == [a, b]
-            if len(self.pairs) >= 500_000:
+            if len(self.pairs) >= 200_000:
                 self.pairs.clear()
             self.pairs[key] = known
         return known
@@ -156,18 +155,15 @@ class PieceModel:
                 out += [self.byte_ids[b] for b in s[i].encode()]
         return out
 
-    def part_ids(self, s: str) -> tuple[tuple[int, ...], str]:
-        """Ids of a part and their decimal form."""
-        ids = tuple(self.encode_part(s))
-        return ids, " ".join(map(str, ids))
+    def part_ids(self, s: str) -> str:
+        """Ids of a part in decimal form: one short string per remembered part."""
+        return " ".join(map(str, self.encode_part(s)))
 
     def encode(self, text: str) -> tuple[list[int], str]:
         """Ids of a text with the end id, and their decimal form joined by blanks."""
         parts = self.parts(BLANK + text.replace(" ", BLANK)) if text else []
-        found = list(map(self.memo.__getitem__, parts))
-        ids = list(itertools.chain.from_iterable(map(itemgetter(0), found)))
-        ids.append(self.end_id)
-        return ids, " ".join([*map(itemgetter(1), found), str(self.end_id)])
+        said = " ".join([*map(self.memo.__getitem__, parts), str(self.end_id)])
+        return list(map(self.number.__getitem__, said.split(" "))), said
 
 
 _MODELS: dict[str, PieceModel] = {}
@@ -197,7 +193,7 @@ def encode_decode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(model_path)
-        for batch in batches:
+        for batch in (big.slice(a, 512) for big in batches for a in range(0, big.num_rows, 512)):
             n, ids_hex, text_hex, all_ids, decoded = [], [], [], [], []
             for t in batch.column(1).to_pylist():
                 ids, said = m.encode(t or "")
