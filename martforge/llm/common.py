@@ -33,8 +33,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows carry whole texts: a batch of so many stays at a few MB in the JVM and in the worker.
+ARROW_ROWS = 512
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers once per context (what ``--py-files`` does)."""
+    """Ready the session for tasks in Python: small Arrow batches, and this package sent to the workers
+    once per context (what ``--py-files`` does)."""
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(size)) <= ARROW_ROWS:
+        spark.conf.set(size, str(ARROW_ROWS))
     sc = spark.sparkContext
     if getattr(sc, "_martforge_shipped", False):
         return
