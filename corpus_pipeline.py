@@ -45,11 +45,12 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies, the one with the smallest doc_id.
 
-    Documents with fewer than three words form no group worth judging by shingles beyond equal texts,
-    which the join treats alike. Rows that repeat a kept doc_id stay; a null doc_id is never a copy.
+    Copies share 80 % of their distinct five-word shingles; the thin query's three words and 0.9 bind only
+    that query. Documents with fewer than five words are one shingle, so only equal ones are copies. Rows
+    that repeat a kept doc_id stay; a null doc_id is never a copy.
     """
     ship(spark)
-    found = ngram_components(docs).where("doc_id != component_id").select("doc_id").distinct()
+    found = ngram_components(docs, width=5, percent=80).where("doc_id != component_id").select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
 
 

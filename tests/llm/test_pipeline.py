@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from martforge.llm import language_id as li
-from tests.llm.helpers import edit, odd_documents
+from tests.llm.helpers import EMPTY, edit, odd_documents, prose
 from tests.llm.test_mix_and_format import targets
 from tests.llm.test_models_and_tokens import labelled
 from tests.llm.test_ngram_join import brute
@@ -156,3 +156,15 @@ def test_stages_on_odd_rows_and_empty_tables(spark):
             out = stage(spark, docs, "")
             assert out.columns == docs.columns and out.count() <= 2 * docs.count()
         assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == docs.count()
+
+
+def test_near_duplicate_stage_takes_five_words_and_four_fifths(spark):
+    rng = random.Random(21)
+    rows = []
+    for k in range(30):
+        text = prose(rng, rng.choice([4, 12, 40, 150]))
+        rows += [(10 * k + j, edit(rng, text, share), "en", "s", 0) for j, share in enumerate((0, 0.01, 0.02, 0.03, 0.05))]
+    df = spark.createDataFrame(rows, EMPTY).repartition(3)
+    first, thin = ({i for i, _, c in brute([r[:2] for r in rows], *rule) if i == c} for rule in ((5, 80), (3, 90)))
+    assert {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, df, "").collect()} == first
+    assert len(first) < len(thin)
