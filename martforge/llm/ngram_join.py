@@ -269,8 +269,8 @@ def walk_roots(docs: DataFrame, rows: DataFrame, percent: int, width: int) -> Da
 
     ``rows``: key, rep, comp: the sets under such roots.
     """
-    # Short names of the roots of a set: enough to tell a pair's first common root (a clash only repeats a pair).
-    reps = rows.groupBy("rep").agg(F.collect_set(F.hash("key")).alias("keys"))
+    # Whole keys: under shorter names two roots could clash, and a pair's least common name be that of no common root.
+    reps = rows.groupBy("rep").agg(F.collect_set("key").alias("keys"))
 
     def maps(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -300,15 +300,15 @@ def walk_roots(docs: DataFrame, rows: DataFrame, percent: int, width: int) -> Da
     met = stored(met, "node-pairs")
     one = met.withColumn("node", F.col("left")).withColumn("side", F.lit(0))
     two = met.where("left != right").withColumn("node", F.col("right")).withColumn("side", F.lit(1))
-    sides = placed.join(one.unionByName(two), ["key", "node"]).select("key", F.xxhash64("left", "right").alias("pair"), F.hash("key").alias("name"), "side", "rep", "comp")
-    group = (sides.join(about, "rep").select("key", "pair", "name", "side", "rep", "comp", "n", "bits", "keys")
+    sides = placed.join(one.unionByName(two), ["key", "node"]).select("key", F.xxhash64("left", "right").alias("pair"), "side", "rep", "comp")
+    group = (sides.join(about, "rep").select("key", "pair", "side", "rep", "comp", "n", "bits", "keys")
              .repartition("key", "pair").sortWithinPartitions("key", "pair"))
 
     def walk(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for t in grouped_rows(batches, 2):
-            name = t.column("name")[0].as_py()
+            key = t.column("key")[0].as_py()
             c = {k: t.column(k).to_numpy() for k in ("side", "rep", "comp", "n")}
             raw, keys = t.column("bits").to_pylist(), t.column("keys").to_pylist()
             words = min(len(b) for b in raw) // 8
@@ -325,7 +325,7 @@ def walk_roots(docs: DataFrame, rows: DataFrame, percent: int, width: int) -> Da
             a, b = [], []
             for i, j in dual_walk(left, right, percent):
                 for p, q in zip(i.tolist(), j.tolist(), strict=True):
-                    if min(left["keys"][p] & other["keys"][q]) == name:  # the pair's first common root
+                    if min(left["keys"][p] & other["keys"][q]) == key:  # the pair's first common root
                         u, v = int(left["rep"][p]), int(other["rep"][q])
                         a.append(max(u, v))
                         b.append(min(u, v))

@@ -111,3 +111,19 @@ def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, x) for x in range(101, 160)] + [(200, 200), (None, 3)]
     got = {r.id: r.component_id for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)}}
+
+
+def test_clashing_short_names_of_roots_lose_no_pair(spark):
+    """Sets 0 and 1 meet under one root only; each has another root, and those two clash in 32 bits below its name."""
+    from pyspark.sql import functions as F
+
+    named = spark.range(300_000).select(F.xxhash64("id").alias("key")).withColumn("name", F.hash("key"))
+    low, (k1, k2, *_) = min((r.name, r.k) for r in named.groupBy("name").agg(F.collect_set("key").alias("k")).where(F.size("k") > 1).collect())
+    common = named.where(F.col("name") > low).agg(F.min("key")).first()[0]
+    rng = random.Random(2)
+    base = prose(rng, 200)
+    texts = [(0, base), (1, base + " end"), (2, prose(rng, 200)), (3, prose(rng, 200))]
+    placed = [(k1, 0), (k1, 2), (k2, 1), (k2, 3), (common, 0), (common, 1)]
+    rows = spark.createDataFrame([(k, i, i) for k, i in placed], "key long, rep long, comp long")
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    assert {tuple(r) for r in nj.walk_roots(docs, rows, 90, 3).collect()} == {(1, 0)}
