@@ -55,8 +55,12 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces live-looking secrets in the texts and brings n_chars up to date; keeps every document."""
-    found = scan_secrets(docs, F.col("doc_id"), F.col("text"), F.col("doc_id"), F.col("source"))
+    """Replaces live-looking secrets in the texts and brings n_chars up to date; keeps every document.
+
+    A secret is live however many documents of a source hold it, and copies of one text are one holder.
+    """
+    digest = F.xxhash64(F.coalesce("text", F.lit("")))
+    found = scan_secrets(docs, F.col("doc_id"), F.col("text"), digest, F.col("source"), max_repositories=None)
     out = redact(docs, "doc_id", "text", found)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 

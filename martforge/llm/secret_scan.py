@@ -82,28 +82,36 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(doc_id, F.coalesce(text, F.lit("")))
 
 
-def live_values(found: DataFrame, max_owners: int = 2, max_repositories: int = 20) -> DataFrame:
+def live_values(found: DataFrame, max_owners: int = 2, max_repositories: int | None = 20) -> DataFrame:
     """Ownership verdict: key, live (set of value hashes that look like live credentials).
 
     The distinct repositories and owners of each value are counted over the whole corpus, in steps
     that sum up on the map side: (value, owner, repository), then (value, owner), then value.
+    Without ``max_repositories``, a value has as many independent holders as owners, but no more than
+    repositories: many repositories of one owner, or one that several owners copied, are one holder.
     """
     each = found.select("key", "repository", "no_owner", "owner", F.explode(F.concat("base", "mixed")).alias("c")).withColumn("value", F.col("c.value"))
     owned = (each.groupBy("value", "no_owner", "owner", "repository").agg(F.lit(1).alias("one"))
              .groupBy("value", "no_owner", "owner").agg(F.count(F.lit(1)).alias("n"))
              .groupBy("value").agg(F.count(F.lit(1)).alias("owners"), F.sum("n").alias("repositories")))
-    live = owned.where((F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)).select("value")
+    if max_repositories is None:
+        held = each.groupBy("value", "repository").agg(F.lit(1).alias("one")).groupBy("value").agg(F.count(F.lit(1)).alias("distinct_repositories"))
+        live = owned.join(held, "value").where(F.least("owners", "distinct_repositories") <= max_owners).select("value")
+    else:
+        live = owned.where((F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)).select("value")
     return each.select("key", "value").join(live, "value").groupBy("key").agg(F.collect_set("value").alias("live"))
 
 
 def scan_secrets(docs: DataFrame, doc_id: Column, text: Column, repository: Column, owner: Column,
-                 max_owners: int = 2, max_repositories: int = 20) -> DataFrame:
+                 max_owners: int = 2, max_repositories: int | None = 20) -> DataFrame:
     """Spans of every document with their ownership verdict.
 
     Returns one row per row of ``docs``: key, doc_id, base and spans, arrays of (start, kind, end,
     live) by start and kind; code points, end exclusive; kind is an index into KINDS. spans holds base
     and the mixed tokens that look live. A value looks live if at most ``max_owners`` owners and
     ``max_repositories`` repositories in the whole corpus hold it; others are widely copied examples.
+    With None for ``max_repositories`` it looks live if at most ``max_owners`` owners, or at most so many
+    distinct repositories (digests of texts, say), hold it, however many repositories an owner has.
 
     A null text is empty; a null owner or repository is one of its own (a null repository equals an
     empty one). Repeated rows count once for their owner and repository and each of them gets a row.

@@ -168,3 +168,12 @@ def test_near_duplicate_stage_takes_five_words_and_four_fifths(spark):
     first, thin = ({i for i, _, c in brute([r[:2] for r in rows], *rule) if i == c} for rule in ((5, 80), (3, 90)))
     assert {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, df, "").collect()} == first
     assert len(first) < len(thin)
+
+
+def test_secret_stage_counts_independent_holders(spark):
+    own, mirrored, example = ("token: " + c * 20 for c in "qme")
+    rows = [(k, f"document {k} of one source, {own}", "en", "s1", 0) for k in range(21)]
+    rows += [(100 + k, f"one text in three sources, {mirrored}", "en", f"s{k}", 0) for k in range(3)]
+    rows += [(200 + k, f"text {k}, {example}", "en", f"s{k}", 0) for k in range(3)]
+    got = {r.doc_id: r.text for r in corpus_pipeline.secret_stage(spark, spark.createDataFrame(rows, EMPTY), "").collect()}
+    assert all(("[SECRET]" in got[i]) == (i < 200) for i, *_ in rows) and len(got) == len(rows)
