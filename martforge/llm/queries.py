@@ -232,3 +232,35 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live
 FROM d LEFT JOIN s USING (doc_id)
 """
+
+
+@_query
+def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents: near words, form and root of each."""
+    from martforge.llm.spelling_groups import variant_groups
+
+    ship(spark)
+    return variant_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+# crc32 byte by byte with its table made by the rule; near words by what is left when a letter goes.
+SQL["op11_spelling_groups"] = r"""
+WITH RECURSIVE t AS (SELECT list(c ORDER BY i) AS tbl FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+         lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)::BIGINT AS c FROM (SELECT unnest(range(256))::BIGINT AS i))),
+r0 AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+       FROM documents),
+r1 AS (SELECT doc_id, run, count(*) AS c, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS hx FROM r0 WHERE length(run) >= 7 GROUP BY ALL),
+r2 AS (SELECT run, c, xor(list_reduce(list_transform(range(0, length(hx) // 2), lambda k: ('0x' || substr(hx, 2 * k::INT + 1, 2))::BIGINT),
+         lambda a, b: xor(a >> 8, tbl[(xor(a, b) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) AS h FROM r1, t),
+v AS (SELECT word, sum(c)::BIGINT AS n FROM (SELECT c, CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+        ELSE run END AS word FROM r2) WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+del AS (SELECT DISTINCT word, n, k, left(word, k::INT) || substr(word, k::INT + 2) AS s FROM (SELECT *, unnest(range(0, length(word))) AS k FROM v)),
+near AS (SELECT DISTINCT a.word, b.word AS other, b.n AS m FROM del a JOIN del b ON a.k = b.k AND a.s = b.s AND a.word <> b.word
+         UNION SELECT v.word, d.word, d.n FROM v JOIN del d ON d.s = v.word
+         UNION SELECT d.word, v.word, v.n FROM v JOIN del d ON d.s = v.word),
+best AS (SELECT word, count(*)::BIGINT AS n_near, arg_min(other, (-m, encode(other))) AS other, max(m) AS m FROM near GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * v.n THEN other END AS form, CASE WHEN m >= 10 * v.n THEN m END AS form_n
+      FROM v LEFT JOIN best USING (word)),
+walk(word, reached, ahead) AS (SELECT word, word, form FROM f UNION ALL SELECT w.word, w.ahead, f.form FROM walk w JOIN f ON f.word = w.ahead)
+SELECT f.word, f.form, w.reached AS root, f.n, f.n_near, f.form_n FROM f JOIN walk w ON w.word = f.word AND w.ahead IS NULL
+"""
