@@ -30,7 +30,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts the lineage, survives lost executors."""
     path = shared_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables written by :func:`stored` whose successors are written; nothing lazy may still read them."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: Rows carry whole texts: a batch of so many stays at a few MB in the JVM and in the worker.

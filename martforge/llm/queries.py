@@ -264,3 +264,48 @@ f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * v.n
 walk(word, reached, ahead) AS (SELECT word, word, form FROM f UNION ALL SELECT w.word, w.ahead, f.form FROM walk w JOIN f ON f.word = w.ahead)
 SELECT f.word, f.form, w.reached AS root, f.n, f.n_near, f.form_n FROM f JOIN walk w ON w.word = f.word AND w.ahead IS NULL
 """
+
+
+@_query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item, from one scan of all texts."""
+    from martforge.llm.lexical_search import lexical_search
+
+    ship(spark)
+    return lexical_search(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+_TERMS = r"""unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term"""
+
+SQL["op12_lexical_search"] = rf"""
+WITH d AS (SELECT doc_id, {_TERMS} FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+len AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+c AS (SELECT count(*) AS big_n, sum(n)::BIGINT AS big_l FROM len),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(big_n) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, c GROUP BY term),
+q AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, {_TERMS} FROM benchmark)),
+s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * big_n) // big_l))))::BIGINT AS score
+      FROM q JOIN tf USING (term) JOIN w USING (term) JOIN len USING (doc_id), c GROUP BY item_id, doc_id)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM s WHERE score > 0) WHERE rank <= 50
+"""
+
+
+@_query
+def op13_vantage_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every vector whose id is divisible by 100."""
+    from martforge.llm.vantage_search import nearest
+
+    ship(spark)
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
+
+SQL["op13_vantage_search"] = r"""
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+             AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+d AS (SELECT q.vec_id AS query_id, v.vec_id, sqrt(list_reduce(list_transform(list_zip(q.x, v.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda a, b: a + b)) AS score
+      FROM v AS q JOIN v ON q.vec_id % 100 = 0 AND v.vec_id <> q.vec_id AND len(q.x) = len(v.x))
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INT AS rank FROM d) WHERE rank <= 10
+"""
