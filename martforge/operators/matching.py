@@ -6,13 +6,13 @@ schedule line is completed by the first receipt (in receipt order) whose running
 reaches its running requirement: ``min(gr_rank) where cum_gr >= cum_sched``.
 
 The textbook form is a non-equi left join on ``cum_gr >= cum_sched`` followed by a top-1
-window - quadratic in the lines per group. Here lines and receipts are stacked; one scan in
-date order gives ranks and running totals, a second one in falling cumulative quantity
-(receipts before schedule lines on ties) carries ``min(struct(gr_rank, payload))`` along: at a
-schedule line it is the earliest receipt among all with at least its cumulative quantity.
+window - quadratic in the lines per group. Here lines and receipts are stacked and scanned twice:
+in date order for ranks and running totals, then in falling cumulative quantity (receipts before
+schedule lines on ties), where the receipt of smallest rank so far is, at a schedule line, the
+earliest among all with at least its cumulative quantity.
 
-Both scans run in segments (:mod:`martforge.operators.prefix`), so an item that holds most of
-the lines is spread over many tasks by the same plan that serves small items.
+Both scans run in ranges with carries (:mod:`martforge.operators.rangescan`): four exchanges of the
+stacked rows in all, and an item that holds most of the lines lies in many partitions.
 """
 
 from __future__ import annotations
@@ -22,22 +22,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martforge.operators.prefix import prefix_scan
+from martforge.operators.rangescan import earliest_offer, running_sums
 
-#: Lines and receipts of an item in one quantity segment, on average.
-SEGMENT_ROWS = 10_000
 
-
-def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[Column], qty: str, out: str,
-                  rank: str | None = None, segment: Column | None = None) -> DataFrame:
+def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[Column], qty: str, out: str, rank: str | None = None) -> DataFrame:
     """Add ``out`` = running sum of ``qty`` and optionally ``rank`` = row number within ``keys``.
 
-    ``order`` must be total per group. ``segment`` never decreases along it; a group is spread
-    by its segments (without it, a group is one segment).
+    ``order`` must be total per group. A group of any size is spread over the partitions.
     """
-    running = {out: ("sum", F.col(qty))} | ({rank: ("sum", F.lit(1))} if rank else {})
-    d = prefix_scan(df, keys, F.lit(0) if segment is None else segment, order, running)
-    return d.withColumn(rank, F.col(rank).cast("int")) if rank else d
+    return running_sums(df, keys, order, {out: F.col(qty)}, rank)
 
 
 def completion_match(sched: DataFrame, receipts: DataFrame, keys: Sequence[str],
@@ -45,41 +38,30 @@ def completion_match(sched: DataFrame, receipts: DataFrame, keys: Sequence[str],
                      receipt_order: Sequence[Column], receipt_qty: str,
                      receipt_cols: Sequence[str],
                      sched_rank: str = "sched_rank", cum_sched: str = "cum_sched_qty",
-                     gr_rank: str = "gr_rank", cum_gr: str = "cum_gr_qty",
-                     sched_segment: Column | None = None, receipt_segment: Column | None = None) -> DataFrame:
+                     gr_rank: str = "gr_rank", cum_gr: str = "cum_gr_qty") -> DataFrame:
     """Schedule lines (all columns + ``sched_rank``, ``cum_sched``) with the completing receipt's
     ``gr_rank``, ``cum_gr`` and ``receipt_cols`` (NULL when not yet completed).
 
     A NULL running requirement never completes; receipts with a NULL running quantity
     never complete anything; equal quantities complete (``>=``). Both orders must be total
-    within a group; the segments (of one type) never decrease along them. The result is a lazy
-    plan: no job runs while it is built.
+    within a group. The result is a lazy plan: no job runs while it is built.
     """
     keys = list(keys)
-    payload = [c for c in sched.columns if c not in keys]
-
-    def side(df: DataFrame, kind: int, qty: str, order: Sequence[Column], segment: Column | None, carried: list[str]) -> DataFrame:
-        return df.select(F.struct(*keys).alias("key"), F.lit(kind).alias("kind"), F.col(qty).alias("qty"),
-                         (F.lit("") if segment is None else segment.cast("string")).alias("part"),
-                         F.struct(*order).alias(f"order_{kind}"), F.struct(*carried).alias(f"row_{kind}"))
-
-    lines = side(sched, 1, sched_qty, _plain(sched_order), sched_segment, payload)
-    gr = side(receipts, 0, receipt_qty, _plain(receipt_order), receipt_segment, list(receipt_cols))
-    events = lines.unionByName(gr, allowMissingColumns=True)
-    scanned = prefix_scan(events, ["key", "kind"], F.col("part"), [F.col("order_1"), F.col("order_0")],
-                          {"cum": ("sum", F.col("qty")), "rank": ("sum", F.lit(1))},
-                          whole={"n": ("sum", F.lit(1)), "width": ("sum", F.abs("qty"))}, whole_keys=["key"])
-    scanned = scanned.withColumn("rank", F.col("rank").cast("int")).where((F.col("kind") == 1) | F.col("cum").isNotNull())
-    parts = F.ceil(F.col("n") / SEGMENT_ROWS)
-    falling = F.when(F.col("width") > 0, -F.floor(F.col("cum").cast("double") / F.col("width").cast("double") * parts))
-    receipt = F.when(F.col("kind") == 0, F.struct("rank", "cum", "row_0"))
-    best = prefix_scan(scanned.withColumn("_receipt", receipt), ["key"], F.coalesce(falling, F.lit(0)).cast("long"),
-                       [F.col("cum").desc_nulls_last(), F.col("kind").asc()], {"_best": ("min", F.col("_receipt"))})
-    found = best.where("kind = 1").withColumn("_best", F.when(F.col("cum").isNotNull(), F.col("_best")))
-    return found.select(*[F.col("key")[k].alias(k) for k in keys], *[F.col("row_1")[c].alias(c) for c in payload],
-                        F.col("rank").alias(sched_rank), F.col("cum").alias(cum_sched), F.col("_best.rank").alias(gr_rank),
-                        F.col("_best.cum").alias(cum_gr), *[F.col("_best.row_0")[c].alias(c) for c in receipt_cols])
-
-
-def _plain(order: Sequence[Column]) -> list[Column]:
-    return [c.alias(f"o{i}") for i, c in enumerate(order)]
+    lines = [c for c in sched.columns if c not in keys]
+
+    def side(df: DataFrame, receipt: bool, qty: str, order: Sequence[Column], carried: Sequence[str], name: str) -> DataFrame:
+        return df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.lit(receipt).alias("receipt"), F.col(qty).alias("qty"),
+                         *[c.alias(f"{name}o{i}") for i, c in enumerate(order)], *[F.col(c).alias(f"{name}c{i}") for i, c in enumerate(carried)])
+
+    events = side(sched, False, sched_qty, sched_order, lines, "s").unionByName(
+        side(receipts, True, receipt_qty, receipt_order, receipt_cols, "r"), allowMissingColumns=True)
+    key, payload = [f"k{i}" for i in range(len(keys))], [f"rc{i}" for i in range(len(receipt_cols))]
+    order = [F.col(f"so{i}") for i in range(len(sched_order))] + [F.col(f"ro{i}") for i in range(len(receipt_order))]
+    own = [f"sc{i}" for i in range(len(lines))]
+    ranked = running_sums(events, [*key, "receipt"], order, {"cum": F.col("qty")}, "rank", kept=[*key, "receipt", *own, *payload])
+    found = earliest_offer(ranked.where(~F.col("receipt") | F.col("cum").isNotNull()), key, [F.col("cum").desc_nulls_last(), F.col("receipt").desc()],
+                           "receipt", "rank", ["cum", *payload], [*key, "rank", "cum", *own], "best")
+    best = F.when(F.col("cum").isNotNull(), F.col("best"))
+    return found.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)], *[F.col(o).alias(c) for o, c in zip(own, lines, strict=True)],
+                        F.col("rank").alias(sched_rank), F.col("cum").alias(cum_sched), best["rank"].alias(gr_rank), best["cum"].alias(cum_gr),
+                        *[best[p].alias(c) for p, c in zip(payload, receipt_cols, strict=True)])

@@ -70,7 +70,7 @@ def running_qty(spark: SparkSession, sf_dir: str) -> DataFrame:
     eket = (_src(spark, sf_dir).scoped("EKET", cfg).filter(in_doc_range(cfg.po_range))
             .select("EBELN", "EBELP", "ETENR", "EINDT", F.col("MENGE").alias("sched_menge")))
     out = running_total(eket, ["EBELN", "EBELP"], [F.col("EINDT"), F.col("ETENR")], "sched_menge",
-                        "cum_sched_qty", rank="sched_rank", segment=F.substring("EINDT", 1, 6))
+                        "cum_sched_qty", rank="sched_rank")
     return out.withColumn("cum_sched_qty", F.col("cum_sched_qty").cast(QTY))
 
 
@@ -93,8 +93,7 @@ def _completion_on_items(spark: SparkSession, sf_dir: str, item_cols) -> DataFra
         F.date_add("due", 7).alias("received"), F.col("qty").alias("r_qty"))
     out = completion_match(sched, receipts, keys, [F.col("due"), F.col("ord"), F.col("line"), F.col("part")], "qty",
                            [F.col("received"), F.col("r_ord"), F.col("r_line"), F.col("r_part")], "r_qty",
-                           ["received", "r_ord", "r_line"], sched_segment=F.date_format("due", "yyyyMM"),
-                           receipt_segment=F.date_format("received", "yyyyMM"))
+                           ["received", "r_ord", "r_line"])
     return out.select(*keys, "ord", "line", "part", "sched_rank", F.col("cum_sched_qty").cast(QTY).alias("cum_sched_qty"),
                       "gr_rank", F.col("cum_gr_qty").cast(QTY).alias("cum_gr_qty"), "received", "r_ord", "r_line")
 

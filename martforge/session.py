@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -49,6 +51,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per context (what ``--py-files`` does)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_martforge_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="martforge-py-"), "martforge_src.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    sc._martforge_shipped = True
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[str]:
     """Checkpoints made inside go to a folder of their own, which is removed at the end."""

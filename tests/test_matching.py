@@ -1,6 +1,7 @@
 import random
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -84,14 +85,14 @@ def test_randomised_equivalence_with_join_form(spark):
     assert a == b
 
 
-def test_running_total_by_segments(spark):
+def test_running_total_in_ranges(spark):
     df = spark.range(0, 5000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("k"), F.col("id").alias("o"),
                                       F.when(F.col("id") % 5 > 0, (F.col("id") % 7).cast("decimal(13,3)")).alias("q"))
     w = Window.partitionBy("k").orderBy("o")
     plain = df.select("k", "o", "q", F.sum("q").over(w).alias("cum"), F.row_number().over(w).alias("rk"))
-    for segment in (None, F.floor(F.col("o") / 100)):
-        out = running_total(df.repartition(3), ["k"], [F.col("o")], "q", "cum", rank="rk", segment=segment)
-        assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
+    out = running_total(df.repartition(3), ["k"], [F.col("o")], "q", "cum", rank="rk")
+    assert out.schema["cum"].dataType == plain.schema["cum"].dataType
+    assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
 
 
 def test_sums_are_exact_without_ansi(spark):
@@ -106,9 +107,7 @@ def test_sums_are_exact_without_ansi(spark):
     assert got == {i: Decimal("900000000000000.001") * (i + 1) for i in range(20)}
 
 
-def test_large_groups_are_spread_with_same_result(spark, monkeypatch):
-    from martforge.operators import matching
-
+def test_large_groups_are_spread_with_same_result(spark):
     rnd = random.Random(11)
     sched, gr = [], []
     for g, (ns, nr) in enumerate([(400, 500), (3, 4), (0, 5), (6, 0), (250, 180)]):
@@ -121,11 +120,40 @@ def test_large_groups_are_spread_with_same_result(spark, monkeypatch):
                        D(rnd.choice([None, 0, 1, 2, 4]))))
     s = spark.createDataFrame(sched, SCHED).repartition(3)
     r = spark.createDataFrame(gr, GR).repartition(3)
-    monkeypatch.setattr(matching, "SEGMENT_ROWS", 20)
-    out = completion_match(s, r, ["item"], [F.col("due"), F.col("line")], "qty", [F.col("posted"), F.col("doc")], "qty", ["doc"],
-                           sched_segment=F.substring("due", 1, 6), receipt_segment=F.substring("posted", 1, 6))
-    a = sorted(tuple(x) for x in out.select("item", "line", "gr_rank", "doc").collect())
-    assert len(a) == len(sched) and a == sorted(tuple(x) for x in join_form(s, r).collect())
+    want, sizes = sorted(tuple(x) for x in join_form(s, r).collect()), {}
+    old = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for n, rows in (("1", "10000"), ("23", "7"), ("60", "10000")):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+            out = completion_match(s, r, ["item"], [F.col("due"), F.col("line")], "qty", [F.col("posted"), F.col("doc")], "qty", ["doc"])
+            a = sorted(tuple(x) for x in out.select("item", "line", "gr_rank", "doc").collect())
+            assert len(a) == len(sched) and a == want
+            places = out.where("item = 'I0'").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+            sizes[n] = max(p["count"] for p in places)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old[0])
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old[1])
+    assert sizes["60"] <= 60 < 400 == sizes["1"]  # the largest item lies in many partitions
+
+
+def test_four_exchanges_and_one_scan_of_each_input(spark, tmp_path):
+    spark.createDataFrame([("A", "20240101", "1", D(1))], SCHED).write.parquet(f"{tmp_path}/s")
+    spark.createDataFrame([("A", "20240101", "G", D(1))], GR).write.parquet(f"{tmp_path}/r")
+    out = completion_match(spark.read.parquet(f"{tmp_path}/s"), spark.read.parquet(f"{tmp_path}/r"), ["item"],
+                           [F.col("due"), F.col("line")], "qty", [F.col("posted"), F.col("doc")], "qty", ["doc"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert (plan.count("Exchange "), plan.count("FileScan parquet"), plan.count("Join")) == (4, 2, 0)
+
+
+def test_sums_need_exact_numbers(spark):
+    df = spark.createDataFrame([("A", 1, 0.5, 3, None), ("A", 2, 0.25, -5, D(-1)), (None, 1, 1.0, 2, D(2))], "k string, o int, f double, i int, d decimal(20,2)")
+    with pytest.raises(TypeError):
+        running_total(df, ["k"], [F.col("o")], "f", "cum")
+    assert sorted(r.cum for r in running_total(df, ["k"], [F.col("o")], "i", "cum").collect()) == [-2, 2, 3]
+    got = {(r.k, r.o): r.cum for r in running_total(df, ["k"], [F.col("o")], "d", "cum").collect()}
+    assert got == {("A", 1): None, ("A", 2): D(-1), (None, 1): D(2)}
+    assert running_total(df.limit(0), ["k"], [F.col("o")], "d", "cum", rank="r").collect() == []
 
 
 def test_planning_starts_no_job(spark):
