@@ -7,8 +7,9 @@ sets of its size band can differ in, so linking sets share the content of at lea
 
 The trees are walked in two passes:
 
-1. Every set is tried against the first set under each of its roots, if their sizes allow a link.
-   These pairs grow with the input, not with the square of a group; their links give components.
+1. Every set is tried against the first set under each of its roots in its chunk of documents, and
+   those against the first one of all chunks, if their sizes allow a link. These pairs grow with the
+   input, not with the square of a group; their links give components.
 2. Under roots that still hold more than one component, inner nodes carry the OR and AND of their
    sets' token bitmaps, their size range and their range of components. Node pairs are walked top
    down; a pair is dropped if its largest possible overlap is below what the smallest sizes need, or if
@@ -28,12 +29,15 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martforge.llm.common import grouped_rows, small_side, stored
+from martforge.llm.common import grouped_rows, release, small_side, stored
 from martforge.llm.components import components
 
 NODE_SETS = 2048  # sets in a node that meets others in one group
 LEAF_SETS = 32  # sets in a leaf of the tree inside a group
 SALT_SETS = 512  # partners of a hub in one group
+RANGE_NAMES = 1 << 21  # root names that meet in one group, about
+CHUNK_NAMES = 1 << 19  # root names that a task holds before it passes them on
+BLOCK_ROWS = 1 << 16  # rows of a packed block, or of an Arrow batch made of one
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -102,6 +106,10 @@ class Scheme:
         i = int(np.searchsorted(self.low, n, side="right")) - 1
         return [i, i - 1] if i and n * self.percent <= (self.low[i] - 1) * 100 else [i]
 
+    def count(self, n: int) -> int:
+        """Roots of a set of size n, at most."""
+        return sum(self.differ[b] + 1 + self.slack for b in self.bands(n) if self.differ[b])
+
     def keys(self, s: np.ndarray) -> np.ndarray:
         """Hashes of (band, part, elements in the part) under which the set meets its partners."""
         out = []
@@ -195,25 +203,143 @@ def dual_walk(left: dict, right: dict | None, percent: int) -> Iterator[tuple[np
 
 
 def describe_sets(docs: DataFrame, scheme: Scheme, width: int) -> DataFrame:
-    """doc_id, n, d1, d2 (digest of the set), keys (its roots), for every row."""
+    """doc_id, n, d1, d2 (digest of the set), roots (number of its roots), for every row."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in (big.slice(a, 512) for big in batches for a in range(0, big.num_rows, 512)):
-            n, d1, d2, keys = [], [], [], []
-            for t in batch.column(1).to_pylist():
+            sets = [shingle_set(t, width) for t in batch.column(1).to_pylist()]
+            found = {"n": [len(s) for s in sets], "d1": [int(mix(s ^ _A).sum(dtype=np.uint64).view(np.int64)) for s in sets],
+                     "d2": [int(mix(s ^ _B).sum(dtype=np.uint64).view(np.int64)) for s in sets], "roots": [scheme.count(len(s)) for s in sets]}
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in found.values())], ["doc_id", *found])
+
+    return docs.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, roots long")
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([np.array([len(columns[0])]).tobytes(), *(c.astype(np.int64).tobytes() for c in columns)]))
+
+
+def _unpack(block: bytes) -> np.ndarray:
+    import zstandard
+
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(block), np.int64)
+    return flat[1:].reshape(-1, int(flat[0])) if flat[0] else flat[1:].reshape(5, 0)
+
+
+def _pack_heads(key: np.ndarray, own: np.ndarray, sets: np.ndarray, n: np.ndarray) -> bytes:
+    """Root names, each with the place of its set in a table of sets and sizes."""
+    import zstandard
+
+    head = np.array([len(key), len(sets)]).tobytes()
+    gaps = np.diff(sets, prepend=0)
+    return zstandard.ZstdCompressor(level=1).compress(head + key.tobytes() + own.astype(np.uint32).tobytes() + gaps.tobytes() + n.astype(np.int64).tobytes())
+
+
+def _unpack_heads(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    import zstandard
+
+    raw = zstandard.ZstdDecompressor().decompress(block)
+    names, sets = np.frombuffer(raw, np.int64, 2).tolist()
+    key = np.frombuffer(raw, np.uint64, names, 16)
+    own = np.frombuffer(raw, np.uint32, names, 16 + 8 * names)
+    gaps, n = (np.frombuffer(raw, np.int64, sets, 16 + 12 * names + 8 * sets * k) for k in (0, 1))
+    return key, np.cumsum(gaps)[own], n[own]
+
+
+def _edges(names: np.ndarray) -> np.ndarray:
+    """Where runs of equal names begin, and the end."""
+    return np.concatenate([[0], np.flatnonzero(names[1:] != names[:-1]) + 1, [len(names)]])
+
+
+def meet_under_roots(docs: DataFrame, scheme: Scheme, width: int, names: int, chunk: int = CHUNK_NAMES, per_range: int = RANGE_NAMES) -> DataFrame:
+    """key, rep, n, head, head_n: the sets under every root that holds several, each with a set tried first.
+
+    ``docs``: doc_id, text; ``names``: number of roots in all. Roots go to ranges of about ``per_range``
+    names, packed in one block per range and chunk of documents. A chunk ships a root once, however many
+    of its sets are under it: those meet their first one there, and only it goes on to the range, where the
+    first ones of all chunks meet. So a root under which a third of all sets lie costs one entry a chunk.
+    """
+    ranges = max(8, -(-names // per_range))
+
+    def route(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        keys, reps, held = [], [], 0
+
+        def blocks():
+            key = np.concatenate(keys)
+            size = np.array([len(k) for k in keys])
+            rep, n = (np.repeat(np.array(c, np.int64), size) for c in zip(*reps, strict=True))
+            order = np.lexsort((rep, key))
+            key, rep, n = key[order], rep[order], n[order]
+            edges = _edges(key)
+            first, count = edges[:-1], np.diff(edges)
+            many = np.repeat(count > 1, count)
+            head = np.repeat(first, count)
+            out = []
+            mine = np.flatnonzero(many)
+            for a in range(0, len(mine), BLOCK_ROWS):  # done here: any task may hand them on
+                part = mine[a:a + BLOCK_ROWS]
+                out.append((-1 - int(key[part[0]] % np.uint64(ranges)), _pack(key[part].view(np.int64), rep[part], n[part], rep[head[part]], n[head[part]])))
+            key, rep, n = key[first], rep[first], n[first]
+            at = ((key >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+            cuts = _edges(at)
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                sets, index = np.unique(rep[a:b], return_index=True)
+                own = np.searchsorted(sets, rep[a:b])
+                out.append((int(at[a]), _pack_heads(key[a:b], own, sets, n[a:b][index])))
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([x for _, x in out], pa.binary())], ["range", "block"])
+
+        for batch in (big.slice(a, 512) for big in batches for a in range(0, big.num_rows, 512)):
+            for doc, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 s = shingle_set(t, width)
-                n.append(len(s))
-                d1.append(int(mix(s ^ _A).sum(dtype=np.uint64).view(np.int64)))
-                d2.append(int(mix(s ^ _B).sum(dtype=np.uint64).view(np.int64)))
-                keys.append(scheme.keys(s).view(np.int64))
-            ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-            flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "n", "d1", "d2", "keys"])
+                k = scheme.keys(s)
+                if len(k):
+                    keys.append(k)
+                    reps.append((doc, len(s)))
+                    held += len(k)
+            if held >= chunk:
+                yield blocks()
+                keys, reps, held = [], [], 0
+        if held:
+            yield blocks()
+
+    def meet(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def rows(key, rep, n, head, head_n):
+            for a in range(0, len(key), BLOCK_ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(c[a:a + BLOCK_ROWS], pa.int64()) for c in (key, rep, n, head, head_n)], ["key", "rep", "n", "head", "head_n"])
+
+        def together(parts):
+            key, rep, n = (np.concatenate(c) for c in zip(*parts, strict=True))
+            order = np.lexsort((rep, key))
+            edges = _edges(key[order])
+            count = np.diff(edges)
+            many = np.repeat(count > 1, count)
+            head = order[np.repeat(edges[:-1], count)[many]]
+            own = order[many]
+            yield from rows(key[own].view(np.int64), rep[own], n[own], rep[head], n[head])
+
+        parts, of = [], None
+        for batch in batches:
+            for at, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if at < 0:
+                    yield from rows(*_unpack(block))
+                    continue
+                if at != of and parts:
+                    yield from together(parts)
+                    parts = []
+                of = at
+                parts.append(_unpack_heads(block))
+        if parts:
+            yield from together(parts)
 
-    return docs.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, keys array<long>")
+    packed = docs.mapInArrow(route, "range long, block binary").repartition("range").sortWithinPartitions("range")
+    return packed.mapInArrow(meet, "key long, rep long, n long, head long, head_n long")
 
 
 def verify(docs: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
@@ -261,7 +387,9 @@ def verify(docs: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataF
     texts = docs.join(small_side(meet, 32), "doc_id").select("hub", "salt", "role", "doc_id", "text")
     together = (texts.mapInArrow(sets, "hub long, salt long, role int, doc_id long, s binary")
                 .repartition("hub", "salt").sortWithinPartitions("hub", "salt", "role"))
-    return stored(together.mapInArrow(check, "a long, b long").distinct(), "set-links")
+    found = stored(together.mapInArrow(check, "a long, b long").distinct(), "set-links")
+    release(pairs, meet)
+    return found
 
 
 def walk_roots(docs: DataFrame, rows: DataFrame, percent: int, width: int) -> DataFrame:
@@ -348,30 +476,33 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     about = stored(describe_sets(d, scheme, width), "sets")
     linkable = about.where("n > 0 and doc_id is not null")
-    first = linkable.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
-    member = linkable.select("doc_id", "d1", "d2", "n").join(first, ["d1", "d2", "n"]).select("doc_id", "rep").distinct()
+    first = linkable.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.max("roots").alias("roots"))
+    member = stored(linkable.select("doc_id", "d1", "d2", "n").join(first, ["d1", "d2", "n"]).select("doc_id", "rep", "roots").distinct(), "set-members")
     # A doc_id with several texts ties their sets together.
     tied = (member.withColumn("b", F.min("rep").over(Window.partitionBy("doc_id"))).where("rep != b").select(F.col("rep").alias("a"), "b"))
-    roots = (linkable.join(first.select(F.col("rep").alias("doc_id"), "d1", "d2", "n"), ["doc_id", "d1", "d2", "n"], "left_semi")
-             .select(F.col("doc_id").alias("rep"), "n", F.explode("keys").alias("key")))
+    # One text of each set is routed: those with a doc_id that names no set stay behind.
+    names = member.where("doc_id = rep").agg(F.coalesce(F.sum("roots"), F.lit(0))).first()[0]
+    behind = member.groupBy("doc_id").agg(F.max((F.col("doc_id") == F.col("rep")).cast("int")).alias("names")).where("names = 0").select("doc_id")
+    fresh = d.where("doc_id is not null").join(small_side(stored(behind, "set-copies"), 16), "doc_id", "left_anti").select("doc_id", "text")
     # Pass 1: the first set under each root against the others there.
-    heads = (roots.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("head"), F.max("rep").alias("last"), F.count(F.lit(1)).alias("c"))
-             .where(F.col("head.rep") != F.col("last")).select("key", "head", "c"))
-    shared = stored(roots.join(heads, "key").select("key", "rep", "n", F.col("head.rep").alias("head"), F.col("head.n").alias("head_n"), "c"), "roots")
+    shared = stored(meet_under_roots(fresh, scheme, width, names), "roots")
     sized = (F.col("n") * percent <= F.col("head_n") * 100) & (F.col("head_n") * percent <= F.col("n") * 100)
     tried = shared.where((F.col("rep") != F.col("head")) & sized).select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
     links = verify(d, tried, percent, width)
     # Pass 2: roots with more than one component left; a root of two sets has been decided.
     comp = components(links)
-    many = shared.where("c > 2").join(comp.select(F.col("id").alias("rep"), "component_id"), "rep", "left").select(
+    many = shared.join(comp.select(F.col("id").alias("rep"), "component_id"), "rep", "left").select(
         "key", "rep", F.coalesce("component_id", "rep").alias("comp"))
     many = stored(many.distinct(), "open-sets")
+    release(shared)
     # Roots over the same sets are one tree: the first key stands for all.
     open_roots = (many.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("c"),
                                           F.bit_xor(F.xxhash64("rep")).alias("x0"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("x1"))
-                  .where("c0 != c1").groupBy("c", "x0", "x1").agg(F.min("key").alias("key")).select("key"))
+                  .where("c0 != c1 and c > 2").groupBy("c", "x0", "x1").agg(F.min("key").alias("key")).select("key"))
     rows = stored(many.join(open_roots, "key", "left_semi"), "open-roots")
+    release(many)
     more = verify(d, walk_roots(d, rows, percent, width).distinct(), percent, width)
+    release(rows)
     final = components(links.unionByName(more).unionByName(tied))
     named = member.join(final.select(F.col("id").alias("rep"), "component_id"), "rep", "left").select(
         "doc_id", F.coalesce("component_id", "rep").alias("component_id")).groupBy("doc_id").agg(F.min("component_id").alias("component_id"))

@@ -42,10 +42,12 @@ CHUNK_ROWS = 32_768  # rows whose small groups are searched together
 _ONE = np.uint64(1)
 
 
-def tally(docs: DataFrame, spoil: Callable[[str, str], str] | None = None, doc_id: str = "doc_id", text: str = "text", shortest: int = 7) -> DataFrame:
+def tally(docs: DataFrame, spoil: Callable[[str, str], str] | None = None, doc_id: str = "doc_id", text: str = "text", shortest: int = 7,
+          hold: int = TALLY_WORDS) -> DataFrame:
     """word, n: occurrences of the lower-cased (A-Z only) letter runs of whole texts.
 
-    ``spoil`` (document id as text, run) -> word is applied before words shorter than ``shortest`` go.
+    ``spoil`` (document id as text, run) -> word is applied before words shorter than ``shortest`` go. A task
+    holds about ``hold`` words before it passes them on.
     """
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -64,7 +66,7 @@ def tally(docs: DataFrame, spoil: Callable[[str, str], str] | None = None, doc_i
                 for w, n in own:
                     if len(w) >= shortest:
                         total[w] += n
-                if len(total) >= TALLY_WORDS:
+                if len(total) >= hold:
                     yield rows(total)
                     total.clear()
         if total:

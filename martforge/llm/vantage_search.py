@@ -191,7 +191,7 @@ def _matrices(column) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield rows, flat[start[rows][:, None] + np.arange(dim)]
 
 
-def _find(vectors: DataFrame, visits: DataFrame, k: int, factor: float, seed: int) -> DataFrame:
+def _find(vectors: DataFrame, visits: DataFrame, k: int, factor: float, leaf_rows: int, seed: int) -> DataFrame:
     """query_id, vec_id, score: the k nearest of every visited shard within a query's reach.
 
     ``vectors``: vec_id, x, dim, cell, sub. ``visits``: query_id, x, reach, dim, cell, sub.
@@ -217,7 +217,7 @@ def _find(vectors: DataFrame, visits: DataFrame, k: int, factor: float, seed: in
             if not len(there):
                 continue
             s = Search(there, ids[role == 0][order], asks, ids[role == 1], reach[role == 1], k, factor)
-            s.go(grow(there, LEAF_ROWS, seed), np.arange(len(asks)))
+            s.go(grow(there, leaf_rows, seed), np.arange(len(asks)))
             query, dist, found = s.held
             yield pa.RecordBatch.from_arrays([pa.array(s.own[query], pa.int64()), pa.array(found, pa.int64()), pa.array(dist, pa.float64())],
                                              ["query_id", "vec_id", "score"])
@@ -226,7 +226,7 @@ def _find(vectors: DataFrame, visits: DataFrame, k: int, factor: float, seed: in
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10, factor: float = 1.0, vec_id: str = "vec_id", embedding: str = "embedding",
-            shard_bytes: int = SHARD_BYTES, sample_bytes: int = SAMPLE_BYTES, seed: int = 11) -> DataFrame:
+            shard_bytes: int = SHARD_BYTES, sample_bytes: int = SAMPLE_BYTES, leaf_rows: int = LEAF_ROWS, seed: int = 11) -> DataFrame:
     """The ``k`` nearest rows, by Euclidean distance, of every row for which ``is_query`` holds.
 
     Returns query_id, rank (from 1), vec_id, score (the distance), nearest first, ties to the smaller vec_id.
@@ -272,7 +272,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, factor: float = 1
         return visits.join(size, ["dim", "cell"]).withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("subs") - 1))).drop("subs")
 
     asked = stored(asked.withColumn("reach", F.lit(float("inf"))), "queries")
-    first = _find(sharded, subs(asked), k, factor, seed)
+    first = _find(sharded, subs(asked), k, factor, leaf_rows, seed)
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     reach = first.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k).select("query_id", F.col("score").alias("found"))
     known = asked.join(reach, "query_id", "left").select("query_id", "x", "dim", F.coalesce("found", "reach").alias("reach"))
@@ -289,6 +289,6 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, factor: float = 1
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(visits, pa.list_(pa.int32()))], ["query_id", "x", "dim", "reach", "cells"])
 
     more = known.mapInArrow(spread, "query_id long, x array<double>, dim int, reach double, cells array<int>").withColumn("cell", F.explode("cells")).drop("cells")
-    second = _find(sharded, subs(stored(more, "visits")), k, factor, seed)
+    second = _find(sharded, subs(stored(more, "visits")), k, factor, leaf_rows, seed)
     return (first.unionByName(second).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
