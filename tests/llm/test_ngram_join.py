@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from martforge.llm import ngram_join as nj
@@ -127,3 +128,30 @@ def test_clashing_short_names_of_roots_lose_no_pair(spark):
     rows = spark.createDataFrame([(k, i, i) for k, i in placed], "key long, rep long, comp long")
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     assert {tuple(r) for r in nj.walk_roots(docs, rows, 90, 3).collect()} == {(1, 0)}
+
+
+@pytest.mark.parametrize(("chunk", "per_range"), [(60, 40), (1 << 19, 1 << 21)])
+def test_roots_meet_across_chunks_and_ranges(spark, chunk, per_range):
+    rng = random.Random(31)
+    base = [prose(rng, n) for n in (12, 40, 90)]
+    docs = [(i, edit(rng, base[i % 3], 0.02 * (i % 5))) for i in range(60)] + [(100, None), (101, "")]
+    scheme = nj.Scheme(80)
+    keys = {i: set(scheme.keys(nj.shingle_set(t, 3)).view(np.int64).tolist()) for i, t in docs}
+    under = {}
+    for i, own in keys.items():
+        for k in own:
+            under.setdefault(k, set()).add(i)
+    want = {(k, i) for k, own in under.items() if len(own) > 1 for i in own}
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = nj.meet_under_roots(df, scheme, 3, sum(map(len, keys.values())), chunk, per_range).collect()
+    assert {(r.key, r.rep) for r in got} == want
+    assert all(r.head in under[r.key] and r.n == len(nj.shingle_set(dict(docs)[r.rep], 3)) and r.head_n == len(nj.shingle_set(dict(docs)[r.head], 3)) for r in got)
+    # What was tried connects all sets under a root.
+    for k, own in under.items():
+        if len(own) > 1:
+            group = {i: i for i in own}
+            for r in got:
+                if r.key == k:
+                    a, b = group[r.rep], group[r.head]
+                    group = {i: min(a, b) if c in (a, b) else c for i, c in group.items()}
+            assert len(set(group.values())) == 1

@@ -72,14 +72,16 @@ def brute_tally(rows, shortest=7, least=2):
     return {w: n for w, n in counts.items() if len(w) >= shortest and n >= least}
 
 
-def test_variant_groups_of_texts(spark, monkeypatch):
-    monkeypatch.setattr(sg, "TALLY_WORDS", 50)
+def test_variant_groups_of_texts(spark):
     rng = random.Random(8)
     vocabulary = ["".join(rng.choice("abcdeÉÀ×") for _ in range(rng.randint(5, 12))) for _ in range(25)]
     rows = [(k, " ".join(rng.choice(vocabulary).replace("a", rng.choice("aaaaaA")) for _ in range(rng.randint(0, 300))), "en", "s", 0) for k in range(60)]
     rows += [(None, "abcdefgh Abcdefgh", "en", "s", 0), (3, None, "en", "s", 0), (4, "straßenbahn1straßenbahn_ΩstraßenbahnΩ", "de", "s", 0)]
-    got = {tuple(r) for r in sg.variant_groups(spark.createDataFrame(rows, EMPTY).repartition(4)).collect()}
+    docs = spark.createDataFrame(rows, EMPTY).repartition(4)
+    got = {tuple(r) for r in sg.variant_groups(docs).collect()}
     assert got == brute_groups(brute_tally([r[:2] for r in rows]))
+    in_parts = sg.tally(docs, sg.crc_deletion, hold=5).where("n > 1")
+    assert {r.word: r.n for r in in_parts.collect()} == brute_tally([r[:2] for r in rows])
     assert any(f for _, f, *_ in got)
 
 
@@ -176,15 +178,14 @@ def clustered(rng, n, dim, clusters, width=0.05):
 
 
 @pytest.mark.parametrize("shard_bytes", [4096, vs.SHARD_BYTES])
-def test_nearest_is_exact_at_factor_one(spark, monkeypatch, shard_bytes):
-    monkeypatch.setattr(vs, "LEAF_ROWS", 16)
+def test_nearest_is_exact_at_factor_one(spark, shard_bytes):
     rng = np.random.default_rng(2)
     rows = [(i, x, 0) for i, x in enumerate(clustered(rng, 1500, 8, 12) + rng.standard_normal((500, 8)).astype(np.float32).tolist())]
     rows += [(3000 + i, rows[100][1], 0) for i in range(120)] + [(5000 + i, [1.0, float(i)], 1) for i in range(6)] + [(6000, [1.0, 2.0, 3.0], 1)]
     rows += [(200, rows[7][1], 0), (200, rows[200][1], 0), (None, rows[5][1], 0), (7000, None, 0), (7100, [], 0), (7200, [0.0] * 8, 0),
              (7300, [1.0] * 7 + [None], 0), (7400, [float("nan")] * 8, 0), (7500, [float("inf")] * 8, 0)]
     df = spark.createDataFrame(rows, VEC).repartition(4)
-    got = vs.nearest(df, F.col("vec_id") % 100 == 0, shard_bytes=shard_bytes)
+    got = vs.nearest(df, F.col("vec_id") % 100 == 0, shard_bytes=shard_bytes, leaf_rows=16)
     assert Counter(map(tuple, got.collect())) == brute_nearest([r[:2] for r in rows], 10)
 
 
