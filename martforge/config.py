@@ -9,6 +9,8 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame
+
 
 @dataclass(frozen=True)
 class MartConfig:
@@ -29,7 +31,8 @@ class MartConfig:
     # Bill of materials.
     # Levels of the explosion; None returns every level (cycles end at their closing row).
     bom_max_levels: int | None = None
-    bom_filter_material: tuple[str, ...] | None = None
+    # Start materials of the explosion: a tuple of any length, or a frame with one column; None: all.
+    bom_filter_material: tuple[str, ...] | DataFrame | None = None
     bom_filter_plant: str | None = None
     bom_filter_usage: str | None = None
     # "bom" keeps the reference's layer scope (partition by BOM number only);

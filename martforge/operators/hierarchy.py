@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martforge.session import checkpoint_dir
+from martforge.session import stored
 
 #: A component with a revision: digits, then one letter.
 REVISION_PATTERN = r"^([0-9]+)([A-Z])$"
@@ -51,13 +51,48 @@ def dedup_bom(direct: DataFrame, scope: str = "bom", tiebreak: Sequence[Column]
 def prepare_edges(edges: DataFrame, parent: str, child: str, same: Sequence[str]) -> DataFrame:
     """Edge list with ``expands``: whether the child is itself a parent under equal ``same`` columns.
 
-    Checkpointed, so the edge pipeline runs once for the roots and all levels.
+    Stored, so the edge pipeline runs once for the roots and all levels.
     """
-    checkpoint_dir(edges.sparkSession)
-    edges = edges.checkpoint(eager=True)
+    edges = stored(edges, "edges")
     parents = edges.select(F.col(parent).alias(child), *same, F.lit(True).alias("expands")).distinct()
-    return (edges.join(parents, [child, *same], "left").select(*edges.columns, F.coalesce("expands", F.lit(False)).alias("expands"))
-            .checkpoint(eager=True))
+    return stored(edges.join(parents, [child, *same], "left").select(*edges.columns, F.coalesce("expands", F.lit(False)).alias("expands")), "marked-edges")
+
+
+def _open_paths() -> Column:
+    """Whether a path goes on: its component is a parent and does not stand on the path already."""
+    return F.col("expands") & ~F.array_contains("trail", F.col("component_material"))
+
+
+def explode_all(roots: DataFrame, match: Sequence[str], path_item: str, max_levels: int | None = None) -> DataFrame:
+    """All levels below all parents, by doubling: paths of up to 2k levels from paths of up to k.
+
+    ``roots`` holds the level-1 rows of every parent, as for :func:`explode_hierarchy`. A path longer than
+    k levels is one of exactly k levels, continued by a path of at most k levels that starts at its last
+    component under equal ``match`` columns. So the paths below a sub-assembly are built once and joined to
+    whatever stands above it, and n levels take log2(n) rounds. Each path comes out of one pair only; pairs
+    whose materials meet twice run into a cycle and are left out. Rows and order as from
+    :func:`explode_hierarchy`.
+    """
+    step = F.lpad(F.col(path_item).cast("string"), 8, "0")
+    pieces, depth = [stored(roots.withColumn("steps", step), "paths")], 1
+    while max_levels is None or depth < max_levels:
+        front = pieces[-1].where((F.col("bom_level") == depth) & _open_paths())
+        if front.isEmpty():
+            break
+        upper, lower = front.alias("u"), reduce(DataFrame.unionByName, pieces).alias("l")
+        both = upper.join(lower, reduce(Column.__and__, [F.col("u.component_material") == F.col("l.top_material"),
+                                                         *[F.col(f"u.{c}") == F.col(f"l.{c}") for c in match]]))
+        level = F.col("u.bom_level") + F.col("l.bom_level")
+        if max_levels is not None:
+            both = both.where(level <= max_levels)
+        joined = {**{c: F.col(f"u.{c}") for c in ("top_material", "top_plant")}, "bom_level": level.cast("int"),
+                  "sort_path": F.concat_ws("|", "u.sort_path", "l.steps"), "trail": F.concat("u.trail", "l.trail"),
+                  "steps": F.when(F.col("u.steps").isNull(), F.col("l.steps")).when(F.col("l.steps").isNull(), F.col("u.steps"))
+                            .otherwise(F.concat_ws("|", "u.steps", "l.steps"))}
+        pieces.append(stored(both.where(~F.arrays_overlap("u.trail", "l.trail")).select(
+            *[joined.get(c, F.col(f"l.{c}")).alias(c) for c in pieces[0].columns]), "paths"))
+        depth *= 2
+    return reduce(DataFrame.unionByName, pieces).drop("expands", "trail", "steps")
 
 
 def explode_hierarchy(edges: DataFrame, roots: DataFrame, parent: str, child: str, match: Mapping[str, str],
@@ -72,11 +107,12 @@ def explode_hierarchy(edges: DataFrame, roots: DataFrame, parent: str, child: st
     expanded. Quantities are per parent, not multiplied through levels. ``max_levels`` is for a
     report that asks for so many levels; by default every level is returned.
 
-    Each level is one join of the level before it, checkpointed once; leaves never enter a join.
+    Each level is one join of the level before it, stored once; leaves never enter a join. This walk is
+    for chosen roots; :func:`explode_all` takes all parents as roots.
     """
     found, level, depth = [], roots, 1
     while max_levels is None or depth < max_levels:
-        front = level.where(F.col("expands") & ~F.array_contains("trail", F.col("component_material")))
+        front = level.where(_open_paths())
         if depth > 1 and front.isEmpty():
             break
         f, e = front.alias("f"), edges.alias("e")
@@ -88,7 +124,7 @@ def explode_hierarchy(edges: DataFrame, roots: DataFrame, parent: str, child: st
                "bom_level": F.lit(depth + 1).cast("int"), "sort_path": F.concat_ws("|", "f.sort_path", step),
                "expands": F.col("e.expands"), "trail": F.array_append("f.trail", F.col(f"e.{parent}")),
                **{c: F.col(f"e.{c}") for c in carry}}
-        level = joined.select(*[new[c].alias(c) for c in roots.columns]).checkpoint(eager=True)
+        level = stored(joined.select(*[new[c].alias(c) for c in roots.columns]), "level")
         found.append(level)
         depth += 1
     return reduce(DataFrame.unionByName, found, roots).drop("expands", "trail")

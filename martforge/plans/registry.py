@@ -135,6 +135,13 @@ def bom_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bom.bill_of_materials(_src(spark, sf_dir), replace(DRIVER_CONFIG, bom_filter_plant="1001", bom_filter_usage="1"))
 
 
+def bom_from_materials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Explosion of a long list of start materials: all materials of one type."""
+    src = _src(spark, sf_dir)
+    starts = src.scoped("MARA", DRIVER_CONFIG).where(F.col("MTART") == "HALB").select(strip_leading_zeros(F.col("MATNR")))
+    return bom.bill_of_materials(src, replace(DRIVER_CONFIG, bom_filter_material=starts))
+
+
 def leaf_nodes_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Level-3 nodes of the organisation tree without level-4 children."""
     tree = _src(spark, sf_dir).table("PROFIT_CENTER_HIERARCHY")
@@ -192,6 +199,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bom_depth_first": bom_depth_first,
     "bom_dedup_plant_scope": bom_dedup_plant_scope,
     "bom_filtered": bom_filtered,
+    "bom_from_materials": bom_from_materials,
     # controlling
     "hierarchy_ragged": _mart(controlling.profit_center),
     "leaf_nodes_anti": leaf_nodes_anti,

@@ -9,7 +9,7 @@ import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "martforge") -> SparkSession:
@@ -68,9 +68,17 @@ def ship_package(spark: SparkSession) -> None:
     sc._martforge_shipped = True
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet into the shared folder and read back: cuts the lineage, survives lost
+    executors, is computed once and prunes columns for its readers."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[str]:
-    """Checkpoints made inside go to a folder of their own, which is removed at the end."""
+    """Checkpoints and stored tables made inside go to a folder of their own, which is removed at the end."""
     sc, outer = spark.sparkContext, checkpoint_dir(spark)
     path_of = sc._jvm.org.apache.hadoop.fs.Path
     own = f"{outer.rstrip('/')}/scratch-{uuid.uuid4().hex}"

@@ -399,9 +399,9 @@ SQL["bom_dedup_layers"] = with_shapes(_BOM_TABLES, f", {_bom()} SELECT {_BOM_COL
 SQL["bom_dedup_plant_scope"] = with_shapes(_BOM_TABLES, f", {_bom('bom_number, plant, parent_matnr')} SELECT {_BOM_COLS} FROM layer4")
 
 
-def _explosion(more: str = "", **bom) -> str:
+def _explosion(more: str = "", where: str = "", **bom) -> str:
     """Every level; a component on its own trail is kept and not expanded."""
-    return with_shapes(_BOM_TABLES + ["MAKT"], f""", {_bom(**bom)},
+    return with_shapes(_BOM_TABLES + ["MAKT", "MARA"], f""", {_bom(**bom)},
 ex AS (
   SELECT parent_matnr AS top_material, plant AS top_plant, parent_matnr AS parent_material,
     component_matnr AS component_material, 1 AS bom_level, [parent_matnr] AS trail,
@@ -421,13 +421,14 @@ SELECT ex.top_material, ex.top_plant, cast(ex.bom_level AS integer) AS bom_level
   pt.MAKTX AS parent_description, ex.component_material, ct.MAKTX AS component_description, ex.plant, ex.bom_usage,
   ex.bom_number, ex.alt_bom, ex.bom_category, ex.item_number, {Q('ex.qty')} AS qty, ex.uom, ex.item_category,
   ex.valid_from{more}
-FROM ex LEFT JOIN txt pt ON pt.m = ex.parent_material LEFT JOIN txt ct ON ct.m = ex.component_material""",
+FROM ex LEFT JOIN txt pt ON pt.m = ex.parent_material LEFT JOIN txt ct ON ct.m = ex.component_material{where}""",
         recursive=True)
 
 
 SQL["bom_explosion"] = _explosion()
 SQL["bom_depth_first"] = _explosion(", ex.sort_path")
 SQL["bom_filtered"] = _explosion(assigned="WERKS = '1001' AND STLAN = '1'")
+SQL["bom_from_materials"] = _explosion(where=f" WHERE ex.top_material IN (SELECT {STRIP('MATNR')} FROM MARA WHERE MANDT = '400' AND MTART = 'HALB')")
 
 # ----------------------------------------------------------------------------- controlling
 _TIERS = """h AS (SELECT * FROM PROFIT_CENTER_HIERARCHY),

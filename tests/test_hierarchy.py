@@ -1,11 +1,12 @@
 import datetime as dt
+import random
 import re
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from martforge.operators.hierarchy import (
-    childless_nodes, dedup_bom, explode_hierarchy, prepare_edges, ragged_hierarchy,
+    childless_nodes, dedup_bom, explode_all, explode_hierarchy, prepare_edges, ragged_hierarchy,
 )
 from martforge.operators.select import active_only, keep_min, latest_per_key, valid_as_of
 from martforge.plans.controlling import TIERS
@@ -23,10 +24,15 @@ def direct_row(parent, comp, item="0010", plant="1001", usage="1", bom=None, alt
 
 
 def explode(spark, rows, max_levels=None):
+    """The walk from level to level; the doubling must give the same rows."""
     edges = spark.createDataFrame(rows, DIRECT).select("parent_matnr", "component_matnr", *EXPLOSION_CARRY)
     edges = prepare_edges(edges, "parent_matnr", "component_matnr", ["plant", "bom_usage"])
-    return explode_hierarchy(edges, bom_roots(edges), "parent_matnr", "component_matnr",
-                             {"top_plant": "plant", "bom_usage": "bom_usage"}, EXPLOSION_CARRY, "item_number", max_levels)
+    walked = explode_hierarchy(edges, bom_roots(edges), "parent_matnr", "component_matnr",
+                               {"top_plant": "plant", "bom_usage": "bom_usage"}, EXPLOSION_CARRY, "item_number", max_levels)
+    doubled = explode_all(bom_roots(edges), ["top_plant", "bom_usage"], "item_number", max_levels)
+    assert walked.columns == doubled.columns
+    assert sorted(map(str, walked.collect())) == sorted(map(str, doubled.collect()))
+    return doubled
 
 
 def test_explosion_is_complete(spark):
@@ -43,6 +49,33 @@ def test_explosion_ends_cycles_at_their_closing_row(spark):
                    ("X", 1, "X", "Y"), ("X", 2, "Y", "X"), ("Y", 1, "Y", "X"), ("Y", 2, "X", "Y")]
 
 
+def test_doubling_equals_the_walk_on_random_graphs(spark):
+    rng = random.Random(13)
+    rows = []
+    for plant, nodes, edges in (("1001", 9, 13), ("1002", 14, 18), ("1003", 30, 36)):
+        for k in range(edges):
+            a, b = rng.randrange(nodes), rng.randrange(nodes)  # cycles and loops included
+            rows.append(direct_row(f"N{a}", f"N{b}", item=rng.choice([f"{k:04d}", None]), plant=plant, usage=rng.choice("112")))
+    rows += [direct_row(f"C{i}", f"C{i + 1}", plant="1009") for i in range(11)] + [direct_row("C4", "C0", plant="1009"), direct_row("C2", "C5", plant=None)]
+    for limit in (None, 1, 3, 4, 7):
+        out = explode(spark, rows, limit)
+        assert limit is None or out.agg(F.max("bom_level")).first()[0] == limit
+
+
+def test_long_lists_of_start_materials_are_joined(spark):
+    from martforge.plans.bom import start_materials
+
+    edges = spark.range(100).select(F.concat(F.lit("M"), "id").alias("parent_matnr"))
+    wanted = tuple(f"M{3 * i}" for i in range(10_000))
+    kept = edges.join(start_materials(spark, wanted), "parent_matnr", "left_semi")
+    assert kept.count() == 34
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "M2997" not in plan and len(plan) < 20_000
+    assert start_materials(spark, None) is None and start_materials(spark, ()) is None
+    frame = spark.createDataFrame([("M1",), ("M1",)], "x string")
+    assert edges.join(start_materials(spark, frame), "parent_matnr", "left_semi").count() == 1
+
+
 def test_dedup_evaluates_its_input_once(spark):
     df = spark.createDataFrame([direct_row("P", "C1")], DIRECT)
     plan = dedup_bom(df, "bom", dedup_tiebreak())._jdf.queryExecution().executedPlan().toString()
