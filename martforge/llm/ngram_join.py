@@ -13,9 +13,10 @@ The trees are walked in two passes:
 2. Under roots that still hold more than one component, inner nodes carry the OR and AND of their
    sets' token bitmaps, their size range and their range of components. Node pairs are walked top
    down; a pair is dropped if its largest possible overlap is below what the smallest sizes need, or if
-   both sides lie in one component. Surviving set pairs are emitted at their first common root only.
+   both sides lie in one component.
 
-Candidates of both passes are verified on the full sets: the text goes to its partners' groups, and
+Candidates of the first pass are thinned by the same bound on single bitmaps. Candidates of both passes
+are then verified on the full sets: the text goes to its partners' groups, and
 exact overlaps decide. Roots of any size are split into nodes of bounded size that meet pairwise in
 separate groups; hubs are salted; components come from :mod:`martforge.llm.components`. Nothing is
 capped or sampled, no candidate list reaches the driver.
@@ -130,9 +131,9 @@ class Scheme:
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    """Token bitmap: eight bits per element, four in sets of 256 and more; a power of two from 64 to 131,072 bits."""
+    """Token bitmap: eight bits per element, two in sets of 256 and more; a power of two from 64 to 131,072 bits."""
     bits = 64
-    while bits < (8 if len(s) < 256 else 4) * len(s) and bits < 1 << 17:
+    while bits < (8 if len(s) < 256 else 2) * len(s) and bits < 1 << 17:
         bits *= 2
     b = np.zeros(bits, np.uint8)
     b[(s & np.uint64(bits - 1)).astype(np.int64)] = 1
@@ -342,17 +343,69 @@ def meet_under_roots(docs: DataFrame, scheme: Scheme, width: int, names: int, ch
     return packed.mapInArrow(meet, "key long, rep long, n long, head long, head_n long")
 
 
+def token_bitmaps(docs: DataFrame, reps: DataFrame, width: int) -> DataFrame:
+    """rep, n, bits for the sets named in ``reps`` (doc_id)."""
+    def maps(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in (big.slice(a, 512) for big in batches for a in range(0, big.num_rows, 512)):
+            s = [shingle_set(t, width) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in s], pa.int64()), pa.array([bitmap(x) for x in s], pa.binary())],
+                                             ["rep", "n", "bits"])
+
+    named = docs.join(small_side(reps, 16), "doc_id", "left_semi").select("doc_id", "text")
+    return stored(named.mapInArrow(maps, "rep long, n long, bits binary"), "set-bitmaps")
+
+
+def _most(x: tuple, y: tuple) -> int:
+    """Largest possible overlap of two sets (n, bitmap)."""
+    words = min(len(x[1]), len(y[1])) // 8
+    a, b = _fold(x[1], words), _fold(y[1], words)
+    return min(x[0] - int(np.bitwise_count(a & ~b).sum()), y[0] - int(np.bitwise_count(b & ~a).sum()))
+
+
+def _around_hubs(pairs: DataFrame) -> DataFrame:
+    """doc_id, hub, salt, role: every b of pairs (a, b) is a hub (role 0); it meets about SALT_SETS partners in a group."""
+    degree = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / SALT_SETS).alias("salts"))
+    m = pairs.join(degree, "b").withColumn("salt", F.pmod(F.xxhash64("a"), F.col("salts")))
+    return stored(m.select(F.col("a").alias("doc_id"), F.col("b").alias("hub"), "salt", F.lit(1).alias("role"))
+                  .unionByName(m.select(F.col("b").alias("doc_id"), F.col("b").alias("hub"), "salt", F.lit(0).alias("role")).distinct()), "set-groups")
+
+
+def promising(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose bitmaps leave room for a link: what is left out cannot link."""
+    meet = _around_hubs(pairs)
+
+    def check(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        group, hubs = None, []
+        for batch in batches:
+            a, b = [], []
+            for hub, salt, role, doc, n, bits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (hub, salt) != group:
+                    group, hubs = (hub, salt), []
+                if role == 0:
+                    hubs.append((n, bits))
+                elif any(_most((n, bits), h) >= _needed(n, h[0], percent) for h in hubs):
+                    a.append(doc)
+                    b.append(hub)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    together = (meet.join(maps.withColumnRenamed("rep", "doc_id"), "doc_id").select("hub", "salt", "role", "doc_id", "n", "bits")
+                .repartition("hub", "salt").sortWithinPartitions("hub", "salt", "role"))
+    kept = stored(together.mapInArrow(check, "a long, b long").distinct(), "promising-pairs")
+    release(meet)
+    return kept
+
+
 def verify(docs: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
     """Pairs (a, b) of doc_ids whose sets link, by exact overlap.
 
     Every b is a hub: its set and the sets of its partners meet in groups of about SALT_SETS partners.
     """
     pairs = stored(pairs, "set-pairs")
-    degree = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / SALT_SETS).alias("salts"))
-    m = pairs.join(degree, "b").withColumn("salt", F.pmod(F.xxhash64("a"), F.col("salts")))
-    meet = (m.select(F.col("a").alias("doc_id"), F.col("b").alias("hub"), "salt", F.lit(1).alias("role"))
-            .unionByName(m.select(F.col("b").alias("doc_id"), F.col("b").alias("hub"), "salt", F.lit(0).alias("role")).distinct()))
-    meet = stored(meet, "set-groups")
+    meet = _around_hubs(pairs)
 
     def sets(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -392,25 +445,12 @@ def verify(docs: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataF
     return found
 
 
-def walk_roots(docs: DataFrame, rows: DataFrame, percent: int, width: int) -> DataFrame:
+def walk_roots(about: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b) under roots with several components, by walking their signature trees.
 
-    ``rows``: key, rep, comp: the sets under such roots.
+    ``rows``: key, rep, comp: the sets under such roots; ``about``: rep, n, bits. A pair comes out of every
+    tree that holds it.
     """
-    # Whole keys: under shorter names two roots could clash, and a pair's least common name be that of no common root.
-    reps = rows.groupBy("rep").agg(F.collect_set("key").alias("keys"))
-
-    def maps(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in (big.slice(a, 512) for big in batches for a in range(0, big.num_rows, 512)):
-            s = [shingle_set(t, width) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in s], pa.int64()), pa.array([bitmap(x) for x in s], pa.binary())],
-                                             ["rep", "n", "bits"])
-
-    about = (docs.join(small_side(reps.select(F.col("rep").alias("doc_id")), 16), "doc_id", "left_semi").select("doc_id", "text")
-             .mapInArrow(maps, "rep long, n long, bits binary").join(reps, "rep"))
-    about = stored(about, "set-bitmaps")
     # Nodes of bounded size: by component, and within a large component by set.
     size = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / NODE_SETS).alias("cells"))
     part = rows.groupBy("key", "comp").agg(F.ceil(F.count(F.lit(1)) / NODE_SETS).alias("slices"))
@@ -429,34 +469,33 @@ def walk_roots(docs: DataFrame, rows: DataFrame, percent: int, width: int) -> Da
     one = met.withColumn("node", F.col("left")).withColumn("side", F.lit(0))
     two = met.where("left != right").withColumn("node", F.col("right")).withColumn("side", F.lit(1))
     sides = placed.join(one.unionByName(two), ["key", "node"]).select("key", F.xxhash64("left", "right").alias("pair"), "side", "rep", "comp")
-    group = (sides.join(about, "rep").select("key", "pair", "side", "rep", "comp", "n", "bits", "keys")
+    group = (sides.join(about, "rep").select("key", "pair", "side", "rep", "comp", "n", "bits")
              .repartition("key", "pair").sortWithinPartitions("key", "pair"))
 
     def walk(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for t in grouped_rows(batches, 2):
-            key = t.column("key")[0].as_py()
             c = {k: t.column(k).to_numpy() for k in ("side", "rep", "comp", "n")}
-            raw, keys = t.column("bits").to_pylist(), t.column("keys").to_pylist()
+            raw = t.column("bits").to_pylist()
             words = min(len(b) for b in raw) // 8
             found = []
             for k in (0, 1):
                 order = np.lexsort((c["rep"], c["n"], c["side"] != k))[: int((c["side"] == k).sum())]
                 found.append(None if not len(order) else {"n": c["n"][order], "comp": c["comp"][order], "rep": c["rep"][order],
-                                                         "bits": np.stack([_fold(raw[i], words) for i in order]),
-                                                         "keys": [frozenset(keys[i]) for i in order]})
+                                                         "bits": np.stack([_fold(raw[i], words) for i in order])})
             left, right = found
             if left is None:
                 continue
             other = left if right is None else right
             a, b = [], []
             for i, j in dual_walk(left, right, percent):
-                for p, q in zip(i.tolist(), j.tolist(), strict=True):
-                    if min(left["keys"][p] & other["keys"][q]) == key:  # the pair's first common root
-                        u, v = int(left["rep"][p]), int(other["rep"][q])
-                        a.append(max(u, v))
-                        b.append(min(u, v))
+                u, v = left["rep"][i], other["rep"][j]
+                a.append(np.maximum(u, v))
+                b.append(np.minimum(u, v))
+            if not a:
+                continue
+            a, b = np.concatenate(a), np.concatenate(b)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return group.mapInArrow(walk, "a long, b long")
@@ -488,7 +527,8 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     shared = stored(meet_under_roots(fresh, scheme, width, names), "roots")
     sized = (F.col("n") * percent <= F.col("head_n") * 100) & (F.col("head_n") * percent <= F.col("n") * 100)
     tried = shared.where((F.col("rep") != F.col("head")) & sized).select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
-    links = verify(d, tried, percent, width)
+    maps = token_bitmaps(d, shared.select(F.col("rep").alias("doc_id")).distinct(), width)
+    links = verify(d, promising(stored(tried, "tried-pairs"), maps, percent), percent, width)
     # Pass 2: roots with more than one component left; a root of two sets has been decided.
     comp = components(links)
     many = shared.join(comp.select(F.col("id").alias("rep"), "component_id"), "rep", "left").select(
@@ -501,8 +541,8 @@ def ngram_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                   .where("c0 != c1 and c > 2").groupBy("c", "x0", "x1").agg(F.min("key").alias("key")).select("key"))
     rows = stored(many.join(open_roots, "key", "left_semi"), "open-roots")
     release(many)
-    more = verify(d, walk_roots(d, rows, percent, width).distinct(), percent, width)
-    release(rows)
+    more = verify(d, walk_roots(maps, rows, percent).where("a != b").distinct(), percent, width)
+    release(rows, maps)
     final = components(links.unionByName(more).unionByName(tied))
     named = member.join(final.select(F.col("id").alias("rep"), "component_id"), "rep", "left").select(
         "doc_id", F.coalesce("component_id", "rep").alias("component_id")).groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
