@@ -30,6 +30,8 @@ def main(argv=None) -> None:
     p.add_argument("--as-of", help="reference date (default: today)")
     p.add_argument("--surrogate-key", action="store_true", help="put the key column in front (always done for tables)")
     p.add_argument("--bom-depth-first", action="store_true", help="write the explosion with its sort path, depth first")
+    p.add_argument("--published", action="store_true", help="write versions that are published atomically")
+    p.add_argument("--key-registry", help="folder of key registries: rows keep their keys through all refreshes")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("martforge-refresh").getOrCreate()
     if a.parquet_sources:
@@ -42,7 +44,8 @@ def main(argv=None) -> None:
     if a.create_tables:
         create_tables(spark, a.target)
     names = a.marts.split(",") if a.marts else None
-    for name, rows in refresh_marts(sources, cfg, a.target, names, as_tables=a.as_tables, surrogate_key=a.surrogate_key or None).items():
+    for name, rows in refresh_marts(sources, cfg, a.target, names, as_tables=a.as_tables, surrogate_key=a.surrogate_key or bool(a.key_registry) or None,
+                                    published=a.published, key_registry=a.key_registry).items():
         print(f"refreshed {name}: {rows} rows")
 
 

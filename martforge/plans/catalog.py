@@ -7,7 +7,7 @@ other, so any subset can run in any order; most are one job, the explosion one p
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation
@@ -18,6 +18,7 @@ from martforge.plans import bom, codes, controlling, materials, partners, purcha
 from martforge.plans.comments import KEY, documented
 from martforge.session import scratch
 from martforge.sources.base import Sources
+from martforge.sources.publish import refresh, refresh_table, with_registered_key
 from martforge.sources.schemas import Col, conform
 from martforge.sources.sinks import create_mart_tables, with_surrogate_key, write_mart
 
@@ -84,14 +85,18 @@ def create_tables(spark, database: str, fmt: str = "parquet") -> list[str]:
 
 
 def refresh_marts(src: Sources, cfg: MartConfig, target: str, names: Iterable[str] | None = None,
-                  as_tables: bool = False, fmt: str = "parquet", surrogate_key: bool | None = None) -> dict[str, int]:
+                  as_tables: bool = False, fmt: str = "parquet", surrogate_key: bool | None = None, published: bool = False,
+                  key_registry: str | None = None, business_keys: Mapping[str, Sequence[str]] | None = None) -> dict[str, int]:
     """Full refresh of the named marts (all by default); returns the rows written per mart.
 
     ``target`` is a folder (one sub-folder per mart) or, with ``as_tables``, a database in
     which ``create_tables`` has run; marts declared with a fixed table schema are then
     replaced row-wise by name, the others overwritten. ``surrogate_key`` puts the key column
-    in front (by default for tables only). Rows are counted while they are written. What a mart
-    checkpointed in the shared folder is removed once it is written.
+    in front (by default for tables only): dense numbers, or with ``key_registry`` (a folder) numbers that
+    a business key (``business_keys`` per mart, all columns by default) keeps through all refreshes. ``published`` writes folders of versions for
+    :func:`martforge.sources.publish.read_published`. A table that exists with the declared columns keeps its
+    definition and is switched to its new rows at once. Rows are counted while they are written. What a
+    mart stored in the shared folder on its way is removed once it is written.
     """
     keyed = as_tables if surrogate_key is None else surrogate_key
     done: dict[str, int] = {}
@@ -101,10 +106,18 @@ def refresh_marts(src: Sources, cfg: MartConfig, target: str, names: Iterable[st
             schema = documented(mart.listing if mart.listing and cfg.bom_depth_first else mart.schema)
             df = conform(mart.build(src, cfg), schema)
             if keyed:
-                df, schema = with_surrogate_key(df, [c.name for c in schema], KEY.name, "dense"), [KEY, *schema]
+                names_of = [c.name for c in schema]
+                df = (with_registered_key(df, (business_keys or {}).get(name, names_of), f"{key_registry.rstrip('/')}/{name}", KEY.name) if key_registry
+                      else with_surrogate_key(df, names_of, KEY.name, "dense"))
+                schema = [KEY, *schema]
             seen = Observation(f"refresh of {name}")
             df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
             where = f"{target}.{name}" if as_tables else f"{target.rstrip('/')}/{name}"
-            write_mart(df, where, schema, fmt=fmt, table=as_tables, keep_table_schema=as_tables and mart.keep_table_schema and not (mart.listing and cfg.bom_depth_first))
+            if published and not as_tables:
+                refresh(df, where, schema, fmt)
+            elif as_tables and fmt != "delta" and src.spark.catalog.tableExists(where) and src.spark.table(where).columns == [c.name for c in schema]:
+                refresh_table(df, where, schema, fmt)
+            else:
+                write_mart(df, where, schema, fmt=fmt, table=as_tables, keep_table_schema=as_tables and mart.keep_table_schema and not (mart.listing and cfg.bom_depth_first))
             done[name] = seen.get["rows"]
     return done

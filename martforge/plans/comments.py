@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from martforge.sources.schemas import Col
 
-KEY = Col("row_key", "bigint", "Row number of the last refresh, in the order of the columns; not stable across refreshes")
+KEY = Col("row_key", "bigint", "Number of the row: in column order of the last refresh, or kept for good where a key registry is used")
 
 COMMENTS = {
     "MPN_Number": "Internal number of the manufacturer part", "Manufacturer_Material_Number": "The maker's own number for the part",
@@ -20,7 +20,7 @@ COMMENTS = {
     "billing_type": "Kind of billing that the item takes part in", "blocked_qty": "Stock that is blocked",
     "bom_category": "Kind of bill of materials, M for materials", "bom_level": "Steps below the top material, from 1",
     "bom_number": "Internal number of the bill of materials", "bom_usage": "Purpose of the bill, such as production",
-    "breakdown": "Whether the class is broken down further", "buyer_name": "Name of the buyer or buying group",
+    "breakdown": "Category that the movement type belongs to", "buyer_name": "Name of the buyer or buying group",
     "central_deletion_flag": "X if the record is to be deleted everywhere", "city": "Town of the address",
     "committed_quantity": "Quantity confirmed so far", "component_description": "Short text of the component",
     "component_material": "Material used in the parent", "controlling_area": "Area for cost accounting", "cost_center": "Number of the cost center",

@@ -21,11 +21,13 @@ from martforge.operators.hierarchy import childless_nodes
 from martforge.operators.matching import completion_match, running_total
 from martforge.operators.purchasing import in_doc_range
 from martforge.plans import bom, codes, controlling, materials, partners, purchasing
+from martforge.plans.comments import KEY, documented
 from martforge.session import checkpoint_dir
 from martforge.sources.base import Sources
-from martforge.sources.schemas import QTY
+from martforge.sources.publish import CheckedSources, read_published, refresh, refresh_table, remove_old_versions, with_registered_key
+from martforge.sources.schemas import QTY, QTY13
 from martforge.sources.shape import DriverSources
-from martforge.sources.sinks import with_surrogate_key, write_mart
+from martforge.sources.sinks import create_mart_table, with_surrogate_key, write_mart
 
 AS_OF = dt.date(2000, 1, 1)
 
@@ -136,9 +138,9 @@ def bom_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bom_from_materials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Explosion of a long list of start materials: all materials of one type."""
+    """Explosion of a long list of start materials: those of the company's own types (Z...)."""
     src = _src(spark, sf_dir)
-    starts = src.scoped("MARA", DRIVER_CONFIG).where(F.col("MTART") == "HALB").select(strip_leading_zeros(F.col("MATNR")))
+    starts = src.scoped("MARA", DRIVER_CONFIG).where(F.col("MTART").startswith("Z")).select(strip_leading_zeros(F.col("MATNR")))
     return bom.bill_of_materials(src, replace(DRIVER_CONFIG, bom_filter_material=starts))
 
 
@@ -169,6 +171,76 @@ def write_mart_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+def _fresh(spark: SparkSession, label: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/marts/{label}-{uuid.uuid4().hex}"
+
+
+def published_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vendor master published twice, first a part of it, and read back."""
+    vm, base = partners.vendor_master(_src(spark, sf_dir), DRIVER_CONFIG), _fresh(spark, "published")
+    refresh(vm.where(F.col("purchasing_organization") == "4000"), base, partners.VENDOR_MASTER)
+    refresh(vm, base, partners.VENDOR_MASTER)
+    remove_old_versions(spark, base)
+    return read_published(spark, base)
+
+
+def stable_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the vendor master after two refreshes: one organisation first, then all."""
+    vm, registry = partners.vendor_master(_src(spark, sf_dir), DRIVER_CONFIG), _fresh(spark, "vendor-keys")
+    keys = ["vendor_account_number", "purchasing_organization"]
+    with_registered_key(vm.where(F.col("purchasing_organization") == "4001"), keys, registry)
+    return with_registered_key(vm, keys, registry)
+
+
+class _DirtyLines(DriverSources):
+    """The driver's tables with malformed quantities planted in some schedule lines (as strings)."""
+
+    def table(self, name: str) -> DataFrame:
+        df = super().table(name)
+        if name.upper() != "EKET":
+            return df
+        digit, item = F.substring("EBELN", 10, 1), F.col("EBELP")
+        return (df.withColumn("MENGE", F.when((digit == "7") & (item == "00010"), "12,5 EA").when((digit == "5") & (item == "00030"), " ")
+                              .otherwise(F.col("MENGE").cast("string")))
+                .withColumn("WEMNG", F.when((digit == "3") & (item == "00020"), "99999999999999").otherwise(F.col("WEMNG").cast("string"))))
+
+
+def _checked(spark: SparkSession, sf_dir: str) -> CheckedSources:
+    return CheckedSources(_DirtyLines(spark, sf_dir, stage=True), {"EKET": {"MENGE": QTY13, "WEMNG": QTY13}}, _fresh(spark, "rejects"),
+                          {"EKET": ["MANDT", "EBELN", "EBELP", "ETENR"]})
+
+
+def quarantined_po_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchase order lines from sources with malformed quantities: their rows are set aside."""
+    return purchasing.purchase_order(_checked(spark, sf_dir), DRIVER_CONFIG)
+
+
+def rejected_schedule_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schedule lines set aside, one row per reason."""
+    return _checked(spark, sf_dir).rejected("EKET").select("MANDT", "EBELN", "EBELP", "ETENR", F.inline("reasons"))
+
+
+def table_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A created catalog table filled by name with its key column, switched to new rows, and read back."""
+    database = f"martforge_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{_fresh(spark, 'tables')}'")
+    name, schema = f"{database}.approved_mfg_part_list", [KEY, *documented(materials.APPROVED_MFG_PART_LIST)]
+    create_mart_table(spark, name, schema, "Approved parts")
+    rows = with_surrogate_key(materials.approved_mfg_part_list(_src(spark, sf_dir), DRIVER_CONFIG), [c.name for c in schema[1:]], KEY.name, "dense")
+    turned = rows.select(*reversed(rows.columns))
+    write_mart(turned.limit(5), name, schema, table=True, keep_table_schema=True)
+    refresh_table(turned, name, schema)
+    return spark.table(name)
+
+
+def bom_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The depth-first listing stored in ranges of its sort order, read back."""
+    base = _fresh(spark, "listing")
+    refresh(bom.bill_of_materials(_src(spark, sf_dir), replace(DRIVER_CONFIG, bom_depth_first=True), ordered=False), base,
+            bom.BILL_OF_MATERIALS_LISTING, layout=["top_material", "top_plant", "sort_path"])
+    return read_published(spark, base)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # purchasing
     "otd_completion": _mart(purchasing.vendor_otd),
@@ -218,4 +290,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "strip_zeros_both": strip_zeros_both,
     "surrogate_key": surrogate_key,
     "write_mart_roundtrip": write_mart_roundtrip,
+    "published_refresh": published_refresh,
+    "stable_keys": stable_keys,
+    "quarantined_po_lines": quarantined_po_lines,
+    "rejected_schedule_lines": rejected_schedule_lines,
+    "table_refresh": table_refresh,
+    "bom_listing": bom_listing,
 }

@@ -15,7 +15,8 @@ def write_mart(df: DataFrame, target: str, schema: Sequence[Col] | None = None,
                table: bool = False, keep_table_schema: bool = False) -> None:
     """Full refresh of one mart.
 
-    ``target`` is a path (``table=False``) or a table name. With ``schema`` the frame is
+    ``target`` is a path (``table=False``) or a table name. Rows at a path are replaced once all new ones are
+    written; :mod:`martforge.sources.publish` replaces them atomically. With ``schema`` the frame is
     first projected onto the declared columns and types. ``keep_table_schema`` replaces the
     rows of an existing table without touching its definition, matching columns by name
     (``INSERT OVERWRITE ... BY NAME``; a positional insert could silently swap columns).
@@ -35,8 +36,36 @@ def write_mart(df: DataFrame, target: str, schema: Sequence[Col] | None = None,
         writer = writer.option("overwriteSchema", "true")
     if table:
         writer.saveAsTable(target)
-    else:
+    elif fmt == "delta":  # its log swaps atomically
         writer.save(target)
+    else:
+        _replace_folder(df, target.rstrip("/"), fmt)
+
+
+def _replace_folder(df: DataFrame, target: str, fmt: str) -> None:
+    """Write all rows beside ``target``, then move them into its place: a job that fails leaves the old rows.
+
+    Between the two moves ``target`` is missing for a moment; :mod:`martforge.sources.publish` has no such moment.
+    """
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fresh, old = path(f"{target}.new-{uuid.uuid4().hex}"), path(f"{target}.old-{uuid.uuid4().hex}")
+    here = path(target)
+    fs = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        df.write.format(fmt).save(fresh.toString())
+        had = fs.exists(here)
+        if had and not fs.rename(here, old):
+            raise OSError(f"cannot move {target} aside")
+        if not fs.rename(fresh, here):
+            if had:
+                fs.rename(old, here)
+            raise OSError(f"cannot move the new rows to {target}")
+    finally:
+        if fs.exists(fresh):
+            fs.delete(fresh, True)
+    if had:
+        fs.delete(old, True)
 
 
 def create_mart_table(spark: SparkSession, name: str, schema: Sequence[Col], comment: str = "",

@@ -7,7 +7,7 @@ multiplication by its exact reciprocal (DuckDB divides decimals in DOUBLE).
 
 from __future__ import annotations
 
-from oracle.shapes import with_shapes
+from oracle.shapes import SHAPES, with_shapes
 
 AS_OF = "DATE '2000-01-01'"
 
@@ -428,7 +428,7 @@ FROM ex LEFT JOIN txt pt ON pt.m = ex.parent_material LEFT JOIN txt ct ON ct.m =
 SQL["bom_explosion"] = _explosion()
 SQL["bom_depth_first"] = _explosion(", ex.sort_path")
 SQL["bom_filtered"] = _explosion(assigned="WERKS = '1001' AND STLAN = '1'")
-SQL["bom_from_materials"] = _explosion(where=f" WHERE ex.top_material IN (SELECT {STRIP('MATNR')} FROM MARA WHERE MANDT = '400' AND MTART = 'HALB')")
+SQL["bom_from_materials"] = _explosion(where=f" WHERE ex.top_material IN (SELECT {STRIP('MATNR')} FROM MARA WHERE MANDT = '400' AND MTART LIKE 'Z%')")
 
 # ----------------------------------------------------------------------------- controlling
 _TIERS = """h AS (SELECT * FROM PROFIT_CENTER_HIERARCHY),
@@ -570,3 +570,23 @@ SQL["completion_supplier_items"] = _completion_items(["l_suppkey"])
 SQL["bom_levels"] = f"""SELECT cast(bom_level AS integer) AS bom_level, count(*) AS rows,
   cast(sum(qty) AS decimal(18,3)) AS qty
 FROM ({SQL["bom_explosion"]}) x GROUP BY bom_level"""
+
+# ----------------------------------------------------------------------------- refresh, keys, quarantine, tables
+SQL["published_refresh"] = SQL["vendor_preferred_contact"]
+SQL["bom_listing"] = SQL["bom_depth_first"]
+SQL["stable_keys"] = with_shapes(["LFA1", "ADR6", "LFM1"], f""", {_VENDOR_MASTER},
+k AS (SELECT DISTINCT vendor_account_number AS v, purchasing_organization AS o FROM vm),
+n AS (SELECT v, o, row_number() OVER (ORDER BY o IS DISTINCT FROM '4001', v NULLS FIRST, o NULLS FIRST) AS no FROM k)
+SELECT n.no AS surrogate_id, vm.* FROM vm JOIN n ON n.v IS NOT DISTINCT FROM vendor_account_number AND n.o IS NOT DISTINCT FROM purchasing_organization""")
+
+_BAD_QTY = "substr(EBELN, 10, 1) = '7' AND EBELP = '00010'"
+_BAD_RECEIVED = "substr(EBELN, 10, 1) = '3' AND EBELP = '00020'"
+_EKET = f"EKET AS (\n{SHAPES['EKET']}\n)"
+SQL["quarantined_po_lines"] = SQL["po_lines_status"].replace(_EKET, f"""EKET AS (
+SELECT * REPLACE (CASE WHEN substr(EBELN, 10, 1) = '5' AND EBELP = '00030' THEN NULL ELSE MENGE END AS MENGE) FROM ({SHAPES['EKET']})
+WHERE NOT ({_BAD_QTY}) AND NOT ({_BAD_RECEIVED}))""")
+SQL["rejected_schedule_lines"] = f"""WITH {_EKET}
+SELECT MANDT, EBELN, EBELP, ETENR, 'MENGE' AS "column", '12,5 EA' AS value, 'decimal(13,3)' AS wanted FROM EKET WHERE {_BAD_QTY}
+UNION ALL SELECT MANDT, EBELN, EBELP, ETENR, 'WEMNG', '99999999999999', 'decimal(13,3)' FROM EKET WHERE {_BAD_RECEIVED}"""
+SQL["table_refresh"] = f"""SELECT row_number() OVER (ORDER BY MPN_Number NULLS FIRST, Material_Number NULLS FIRST, Material_Description NULLS FIRST, Manufacturer_Name NULLS FIRST,
+  Manufacturer_Number NULLS FIRST, Manufacturer_Material_Number NULLS FIRST, Plant NULLS FIRST, Valid_From NULLS FIRST, Valid_To NULLS FIRST) AS row_key, * FROM ({SQL["approved_parts"]})"""
