@@ -127,7 +127,8 @@ def test_clashing_short_names_of_roots_lose_no_pair(spark):
     placed = [(k1, 0), (k1, 2), (k2, 1), (k2, 3), (common, 0), (common, 1)]
     rows = spark.createDataFrame([(k, i, i) for k, i in placed], "key long, rep long, comp long")
     docs = spark.createDataFrame(texts, "doc_id long, text string")
-    assert {tuple(r) for r in nj.walk_roots(docs, rows, 90, 3).collect()} == {(1, 0)}
+    maps = nj.token_bitmaps(docs, docs.select("doc_id"), 3)
+    assert {tuple(r) for r in nj.walk_roots(maps, rows, 90).collect()} == {(1, 0)}
 
 
 @pytest.mark.parametrize(("chunk", "per_range"), [(60, 40), (1 << 19, 1 << 21)])
