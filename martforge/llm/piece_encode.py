@@ -20,23 +20,28 @@ import heapq
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame
 
 BLANK = "▁"
 
 
+#: What is remembered of a string: its ids in decimal form, joined by blanks, and as little-endian 32-bit integers.
+Found = tuple[str, bytes]
+
+
 class Memo(dict):
-    """Answers of ``f`` for short strings, in two generations of at most ``most`` entries."""
+    """Answers of ``f`` for short strings, in two generations of at most ``most`` entries; what ``skip`` finds is not kept."""
 
-    def __init__(self, f: Callable[[str], str], most: int, longest: int = 64) -> None:
+    def __init__(self, f: Callable[[str], Found], most: int, skip: re.Pattern | None = None, longest: int = 64) -> None:
         super().__init__()
-        self.f, self.most, self.longest, self.old = f, most, longest, {}
+        self.f, self.most, self.skip, self.longest, self.old = f, most, skip, longest, {}
 
-    def __missing__(self, s: str) -> str:
+    def __missing__(self, s: str) -> Found:
         found = self.old.get(s)
         if found is None:
             found = self.f(s)
-        if len(s) <= self.longest:
+        if len(s) <= self.longest and not (self.skip and self.skip.search(s)):
             if len(self) >= self.most:
                 self.old = dict(self)
                 self.clear()
@@ -47,7 +52,7 @@ class Memo(dict):
 class PieceModel:
     """Vocabulary, automaton and pair checks of one model file."""
 
-    def __init__(self, path: str, remember: int = 200_000) -> None:
+    def __init__(self, path: str, remember: int = 300_000) -> None:
         import ahocorasick
         import sentencepiece
 
@@ -59,7 +64,6 @@ class PieceModel:
         self.text = {i: p for p, i in self.ids.items()}
         self.byte_ids = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.end_id = sp.eos_id()
-        self.number = {str(i): i for i in range(n)}
         self.joined = {p[k: k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.automaton = ahocorasick.Automaton()
         for p, i in self.ids.items():
@@ -67,16 +71,19 @@ class PieceModel:
                 self.automaton.add_word(p, (len(p), i))
         self.automaton.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.memo = Memo(self.part_ids, remember)
         # A part: blanks and what follows up to the next blank or line break, if no piece crosses there.
         crossing = {b for a, b in self.joined if a != BLANK}
         lone = [c for c in "\n\t\r" if not any(c in p for p in self.ids)]
         stop = "".join(map(re.escape, lone))
-        if BLANK in crossing:
+        self.cut = BLANK not in crossing
+        if not self.cut:
             self.parts = lambda s: [s]
         else:
             first = f"[{stop}]|" if lone else ""
             self.parts = re.compile(f"{first}{BLANK}*[^{BLANK}{stop}]+|{BLANK}+").findall
+        # Words hold no blank; those with a line break are made of remembered parts and not remembered themselves.
+        self.memo = Memo(self.part_ids, remember)
+        self.words = Memo(self.word_ids, remember, re.compile(f"[{stop}]") if lone else None)
 
     def _merge(self, s: str) -> list[str]:
         """Merge neighbours by falling score, leftmost first on ties: the definition, for pieces and pairs only."""
@@ -155,15 +162,34 @@ class PieceModel:
                 out += [self.byte_ids[b] for b in s[i].encode()]
         return out
 
-    def part_ids(self, s: str) -> str:
-        """Ids of a part in decimal form: one short string per remembered part."""
-        return " ".join(map(str, self.encode_part(s)))
+    def part_ids(self, s: str) -> Found:
+        """Ids of a part."""
+        ids = self.encode_part(s)
+        return " ".join(map(str, ids)), np.array(ids, "<i4").tobytes()
+
+    def word_ids(self, word: str) -> Found:
+        """Ids of a blank and a word without blanks that a blank or the end follows."""
+        whole, joined, parts, begin = BLANK + word, self.joined, [], 0
+        if self.cut:
+            for k in range(1, len(whole)):
+                if whole[k - 1: k + 1] not in joined:  # no piece reaches across
+                    parts.append(whole[begin:k])
+                    begin = k
+        parts.append(whole[begin:])
+        said, raw = zip(*map(self.memo.__getitem__, parts), strict=True)
+        return " ".join(said), b"".join(raw)
 
     def encode(self, text: str) -> tuple[list[int], str]:
         """Ids of a text with the end id, and their decimal form joined by blanks."""
-        parts = self.parts(BLANK + text.replace(" ", BLANK)) if text else []
-        said = " ".join([*map(self.memo.__getitem__, parts), str(self.end_id)])
-        return list(map(self.number.__getitem__, said.split(" "))), said
+        if not text:
+            found: list[Found] = []
+        elif self.cut and "  " not in text and text[0] != " " and text[-1] != " " and BLANK not in text:
+            found = list(map(self.words.__getitem__, text.split(" ")))  # single blanks: every word is cut off on its own
+        else:
+            found = list(map(self.memo.__getitem__, self.parts(BLANK + text.replace(" ", BLANK))))
+        ids = np.frombuffer(b"".join([f[1] for f in found]), "<i4").tolist()
+        ids.append(self.end_id)
+        return ids, " ".join([*[f[0] for f in found], str(self.end_id)])
 
 
 _MODELS: dict[str, PieceModel] = {}
