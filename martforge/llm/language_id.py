@@ -231,10 +231,12 @@ def fit(docs: DataFrame, doc_id: Column, text: Column, lang: Column, learn: Colu
     sample is at most ``fit_docs`` rows per language, and only n-gram tables of it reach the driver.
     """
     rows = docs.select(doc_id.alias("id"), text.alias("text"), lang.cast("string").alias("lang"), learn.alias("learn")).where("learn and id is not null and lang is not null and text is not null")
-    # Only rows below a digest bound that leaves about three times the sample meet in the ranking.
+    # Only rows below a digest bound that leaves about three times the sample meet in the ranking: the bounds,
+    # one row per language, go to the rows (sent along if counted small), so no language gathers in one task.
     light = rows.select("id", "lang").withColumn("digest", F.pmod(F.xxhash64("id"), F.lit(1 << 40)))
     bound = light.groupBy("lang").agg((F.lit(3.0 * fit_docs * (1 << 40)) / F.count(F.lit(1))).alias("bound"))
     order_by = Window.partitionBy("lang").orderBy("digest", "id")
+    bound = small_side(stored(bound, "language-bounds"), 64)
     chosen = (light.join(bound, "lang").where(F.col("digest") < F.col("bound"))
               .withColumn("no", F.row_number().over(order_by)).where(F.col("no") <= fit_docs).select("id", "lang", "no"))
     sample = stored(rows.join(small_side(stored(chosen, "language-sample"), 64), ["id", "lang"]).select("lang", "text", "no"), "language-texts")

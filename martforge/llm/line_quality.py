@@ -3,8 +3,8 @@
 Per text: words, code points in words, symbols, repeated lines and words inside repeated three-word
 windows. Across texts: lines are normalised (lower case, digits as 0, runs of other characters than
 letters and digits as one blank) and hashed; for each host the distinct documents of every line are
-counted; lines that more than ``max_docs`` documents of a host share are taken out; a document of
-which too little remains is rejected.
+counted; lines that at least ``least_docs`` documents and more than ``max_share`` percent of the host's
+documents share are taken out; a document of which too little remains is rejected.
 
 The hashes of all lines are written once. Distinct (document, line) pairs spread by document, and
 their counts are summed up on the map side, so a line that all documents share moves one row per
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martforge.llm.common import stored, word_count
+from martforge.llm.common import small_side, stored, word_count
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[^#*$%&|<>]+"
@@ -58,11 +58,11 @@ def normal_line(line: Column) -> Column:
 
 
 def line_quality(docs: DataFrame, doc_id: Column, text: Column, host: Column, min_words: int = 50, max_repeat: int = 50,
-                 max_docs: int = 200, min_left: int = 30) -> DataFrame:
+                 least_docs: int = 5, max_share: int = 5, min_left: int = 30) -> DataFrame:
     """Metrics and verdict per document.
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    n_removed_words (words on lines above the limit) and kept. base_failed: fewer than ``min_words``
+    n_removed_words (words on lines above both limits) and kept. base_failed: fewer than ``min_words``
     words, or more than ``max_repeat`` percent of the words in repeated windows. kept: not
     base_failed, and after removal at least ``min_left`` percent of the words remain.
 
@@ -88,7 +88,10 @@ def line_quality(docs: DataFrame, doc_id: Column, text: Column, host: Column, mi
              .where("norm != ''").withColumn("hash", F.xxhash64("norm")).drop("norm"))
     lines = stored(lines, "line-hashes")
     counted = (lines.groupBy("key", "no_host", "host", "hash").agg(F.lit(1).alias("one"))
-               .groupBy("no_host", "host", "hash").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > max_docs))
+               .groupBy("no_host", "host", "hash").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") >= least_docs))
+    # Documents per host, lines or not: one row per host.
+    hosts = stored(rows.groupBy("no_host", "host", "key").agg(F.lit(1).alias("one")).groupBy("no_host", "host").agg(F.count(F.lit(1)).alias("host_docs")), "hosts")
+    counted = counted.join(small_side(hosts, 64), ["no_host", "host"]).where(F.col("n_docs") * 100 > F.col("host_docs") * max_share).drop("host_docs")
     # Equal rows share a key: each of their places counts once.
     removed = (lines.join(counted, ["no_host", "host", "hash"])
                .groupBy("key", "pos").agg(F.max("n").alias("n"))

@@ -111,7 +111,9 @@ dup AS (SELECT doc_id, (count(*) - count(DISTINCT line))::BIGINT AS n_dup_lines
         WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 norm AS (SELECT doc_id, source, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
                 trim(regexp_replace(regexp_replace(lower(line), '\p{Nd}', '0', 'g'), '[^\p{L}0]+', ' ', 'g')) AS l FROM ln),
-freq AS (SELECT source, l FROM norm WHERE l <> '' GROUP BY source, l HAVING count(DISTINCT doc_id) > 200),
+host AS (SELECT source, count(DISTINCT doc_id) AS host_docs FROM documents GROUP BY source),
+freq AS (SELECT f.source, l FROM (SELECT source, l, count(DISTINCT doc_id) AS c FROM norm WHERE l <> '' GROUP BY source, l) f
+         JOIN host ON f.source IS NOT DISTINCT FROM host.source WHERE c >= 5 AND 100 * c > 5 * host_docs),
 gone AS (SELECT doc_id, sum(n)::BIGINT AS n_removed_words FROM norm JOIN freq ON norm.l = freq.l AND norm.source IS NOT DISTINCT FROM freq.source
          GROUP BY doc_id),
 m AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from martforge.llm.kd_shards import hash_scale, kd_shards, log_scale
 from martforge.llm.line_quality import line_quality
 from martforge.llm.secret_scan import KINDS, redact, scan_secrets, spell
-from tests.llm.helpers import EMPTY, WORDS, odd_documents
+from tests.llm.helpers import EMPTY, WORDS, odd_documents, prose
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
@@ -83,7 +83,7 @@ def test_quality_metrics_match_brute_force(spark):
         line = lambda p=pool: " ".join(rng.choice(p) for _ in range(rng.randint(0, 12))) + rng.choice(["", "#", " $%", "\t|"])
         rows.append((i, "\n".join(rng.choice([line(), "same line twice"]) for _ in range(rng.randint(0, 15))), "h"))
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
-    got = {r.doc_id: r for r in quality(df, max_docs=10_000).collect()}
+    got = {r.doc_id: r for r in quality(df, least_docs=10_001).collect()}
     for i, t, _ in rows:
         g = got[i]
         assert (g.n_words, g.word_chars, g.n_symbols, g.n_dup_lines, g.n_repeat_words, g.base_failed) == metrics(t)
@@ -96,12 +96,12 @@ def test_quality_common_lines_deplete(spark):
     common = "All rights RESERVED, 2024 " + own(70)
     rows = [(i, f"{common}\n{own(120)}", "h") for i in range(12)] + [(50, f"{common.lower()}!\n{own(5)}", "h"), (51, f"{common}\n{own(5)}", "other"), (52, own(80), "h")]
     rows += [rows[0]] * 3  # repeated rows are one document
-    got = {(r.doc_id): r for r in quality(spark.createDataFrame(rows, "doc_id long, text string, source string"), max_docs=12).collect()}
+    got = {(r.doc_id): r for r in quality(spark.createDataFrame(rows, "doc_id long, text string, source string"), least_docs=13, max_share=0).collect()}
     n = len(common.split())
     assert got[0].n_removed_words == n and got[0].kept and got[52].kept
     assert got[50].n_removed_words == n and not got[50].base_failed and not got[50].kept
     assert got[51].n_removed_words == 0 and got[51].kept
-    assert all(r.n_removed_words == 0 for r in quality(spark.createDataFrame(rows, "doc_id long, text string, source string"), max_docs=13).collect())
+    assert all(r.n_removed_words == 0 for r in quality(spark.createDataFrame(rows, "doc_id long, text string, source string"), least_docs=14, max_share=0).collect())
 
 
 def test_quality_odd_rows(spark):
@@ -135,3 +135,15 @@ def test_shards_odd_rows(spark):
     assert len(got) == df.count() and all(0 <= r.shard < 40 for r in got)
     assert shards(df, 1).agg(F.countDistinct("slot")).first()[0] == df.count()
     assert shards(spark.createDataFrame([], EMPTY), 40).collect() == []
+
+
+def test_lines_go_by_their_share_of_the_host(spark):
+    """A small host that is all template loses its lines by default; the same line in few of a large host's documents stays."""
+    rng = random.Random(17)
+    rows = [(k, f"all rights reserved by the makers\n{prose(rng, 60)}", "small") for k in range(6)]
+    rows += [(100 + k, prose(rng, 60) + ("\nall rights reserved by the makers" if k < 7 else ""), "large") for k in range(140)]
+    rows += [(300 + k, f"one line\n{prose(rng, 60)}", "tiny") for k in range(4)] + [(400, None, "small"), (401, "", None)]
+    got = {r.doc_id: r.n_removed_words for r in quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(got[k] == 6 for k in range(6))  # six of seven documents
+    assert all(got[100 + k] == 0 for k in range(140))  # seven of 140 are not above five percent
+    assert all(got[300 + k] == 0 for k in range(4))  # fewer than five documents
