@@ -24,6 +24,7 @@ from martforge.plans import bom, codes, controlling, materials, partners, purcha
 from martforge.plans.comments import KEY, documented
 from martforge.session import checkpoint_dir
 from martforge.sources.base import Sources
+from martforge.sources.buckets import store_bucketed
 from martforge.sources.publish import CheckedSources, read_published, refresh, refresh_table, remove_old_versions, with_registered_key
 from martforge.sources.schemas import QTY, QTY13
 from martforge.sources.shape import DriverSources
@@ -233,6 +234,14 @@ def table_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def po_lines_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchase order lines from purchasing tables stored in equal buckets of the document number."""
+    database = f"martforge_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{_fresh(spark, 'buckets')}'")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return purchasing.purchase_order(store_bucketed(_src(spark, sf_dir), database, buckets, ["EKKO", "EKPO", "EKET"]), DRIVER_CONFIG)
+
+
 def bom_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The depth-first listing stored in ranges of its sort order, read back."""
     base = _fresh(spark, "listing")
@@ -295,5 +304,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantined_po_lines": quarantined_po_lines,
     "rejected_schedule_lines": rejected_schedule_lines,
     "table_refresh": table_refresh,
+    "po_lines_bucketed": po_lines_bucketed,
     "bom_listing": bom_listing,
 }

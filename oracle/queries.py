@@ -574,6 +574,7 @@ FROM ({SQL["bom_explosion"]}) x GROUP BY bom_level"""
 # ----------------------------------------------------------------------------- refresh, keys, quarantine, tables
 SQL["published_refresh"] = SQL["vendor_preferred_contact"]
 SQL["bom_listing"] = SQL["bom_depth_first"]
+SQL["po_lines_bucketed"] = SQL["po_lines_status"]
 SQL["stable_keys"] = with_shapes(["LFA1", "ADR6", "LFM1"], f""", {_VENDOR_MASTER},
 k AS (SELECT DISTINCT vendor_account_number AS v, purchasing_organization AS o FROM vm),
 n AS (SELECT v, o, row_number() OVER (ORDER BY o IS DISTINCT FROM '4001', v NULLS FIRST, o NULLS FIRST) AS no FROM k)
