@@ -19,7 +19,7 @@ def in_doc_range(doc_range: tuple[str, str], col: str = "EBELN") -> Column:
     return F.col(col).between(*doc_range)
 
 
-def line_status(deleted="LOEKZ", completed="ELIKZ", received="WEMNG", scheduled="sched_menge") -> Column:
+def line_status(deleted="LOEKZ", completed="ELIKZ", received="WEMNG", scheduled="line_qty") -> Column:
     """Deleted > Delivery Complete > Fully Received > Partially Received > Open (NULLs -> Open)."""
     return (F.when(F.col(deleted) == "X", "Deleted")
             .when(F.col(completed) == "X", "Delivery Complete")
@@ -28,7 +28,7 @@ def line_status(deleted="LOEKZ", completed="ELIKZ", received="WEMNG", scheduled=
             .otherwise("Open"))
 
 
-def line_value(qty="sched_menge", price="NETPR", per="PEINH") -> Column:
+def line_value(qty="line_qty", price="NETPR", per="PEINH") -> Column:
     """round(qty * price / price_unit, 2); a zero or NULL price unit gives NULL."""
     return F.round(safe_div(F.col(qty) * F.col(price), F.col(per)), 2)
 
