@@ -36,8 +36,10 @@ from martforge.llm.components import components
 NODE_SETS = 2048  # sets in a node that meets others in one group
 LEAF_SETS = 32  # sets in a leaf of the tree inside a group
 SALT_SETS = 512  # partners of a hub in one group
-RANGE_NAMES = 1 << 21  # root names that meet in one group, about
-CHUNK_NAMES = 1 << 19  # root names that a task holds before it passes them on
+RANGE_NAMES = 1 << 19  # root names that meet in one group, about
+CHUNK_NAMES = 1 << 18  # root names that a task holds before it passes them on
+FAMILY_ROWS = 20_000  # sets under the roots of a family that one task walks, about
+SEEN_PAIRS = 200_000  # pairs that a task remembers to hand on once
 BLOCK_ROWS = 1 << 16  # rows of a packed block, or of an Arrow batch made of one
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -448,9 +450,13 @@ def verify(docs: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataF
 def walk_roots(about: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b) under roots with several components, by walking their signature trees.
 
-    ``rows``: key, rep, comp: the sets under such roots; ``about``: rep, n, bits. A pair comes out of every
-    tree that holds it.
+    ``rows``: key, rep, comp: the sets under such roots; ``about``: rep, n, bits. Similar sets meet under many
+    roots: roots with the same smallest set are a family, whose roots go to as few tasks as their size
+    allows, and a task hands a pair on once.
     """
+    family = rows.groupBy("key").agg(F.min("rep").alias("family"), F.count(F.lit(1)).alias("c"))
+    spread = family.groupBy("family").agg(F.ceil(F.sum("c") / FAMILY_ROWS).alias("places"))
+    family = stored(family.join(spread, "family"), "families")
     # Nodes of bounded size: by component, and within a large component by set.
     size = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / NODE_SETS).alias("cells"))
     part = rows.groupBy("key", "comp").agg(F.ceil(F.count(F.lit(1)) / NODE_SETS).alias("slices"))
@@ -469,12 +475,15 @@ def walk_roots(about: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     one = met.withColumn("node", F.col("left")).withColumn("side", F.lit(0))
     two = met.where("left != right").withColumn("node", F.col("right")).withColumn("side", F.lit(1))
     sides = placed.join(one.unionByName(two), ["key", "node"]).select("key", F.xxhash64("left", "right").alias("pair"), "side", "rep", "comp")
-    group = (sides.join(about, "rep").select("key", "pair", "side", "rep", "comp", "n", "bits")
-             .repartition("key", "pair").sortWithinPartitions("key", "pair"))
+    spot = F.when(F.col("c") > NODE_SETS, F.xxhash64("key", "pair")).otherwise(F.xxhash64("key"))  # a large root is spread as well
+    sides = sides.join(family, "key").select("key", "pair", "side", "rep", "comp", "family", F.pmod(spot, F.col("places")).alias("place"))
+    group = (sides.join(about, "rep").select("key", "pair", "side", "rep", "comp", "n", "bits", "family", "place")
+             .repartition("family", "place").sortWithinPartitions("family", "place", "key", "pair"))
 
     def walk(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        seen: set = set()
         for t in grouped_rows(batches, 2):
             c = {k: t.column(k).to_numpy() for k in ("side", "rep", "comp", "n")}
             raw = t.column("bits").to_pylist()
@@ -491,11 +500,13 @@ def walk_roots(about: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
             a, b = [], []
             for i, j in dual_walk(left, right, percent):
                 u, v = left["rep"][i], other["rep"][j]
-                a.append(np.maximum(u, v))
-                b.append(np.minimum(u, v))
-            if not a:
-                continue
-            a, b = np.concatenate(a), np.concatenate(b)
+                for p in zip(np.maximum(u, v).tolist(), np.minimum(u, v).tolist(), strict=True):
+                    if p not in seen:
+                        seen.add(p)
+                        a.append(p[0])
+                        b.append(p[1])
+            if len(seen) > SEEN_PAIRS:
+                seen.clear()
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return group.mapInArrow(walk, "a long, b long")
