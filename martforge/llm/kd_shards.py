@@ -117,8 +117,8 @@ def kd_shards(docs: DataFrame, doc_id: Column, text: Column, metadata: list[Colu
 
     ``metadata``: dimensions as 16-bit numbers (see :func:`log_scale`, :func:`hash_scale`). Returns
     doc_id, size (UTF-8 bytes of the text and 16), text_crc32, shard (0 to shards - 1) and slot (0, 1,
-    ... within the shard, by a digest of the id). Null text has no bytes; null metadata counts as its
-    scale of null (0); repeated rows are placed one by one; with fewer rows than shards, some shards
+    ... within the shard, by a digest of the id). Null text has no bytes; a null dimension counts
+    as 0 (``hash_scale`` gives null a number of its own); repeated rows are placed one by one; with fewer rows than shards, some shards
     stay empty; an empty table gives no rows. Only the given expressions are read.
     """
     t = F.coalesce(text, F.lit(""))

@@ -147,3 +147,45 @@ def test_lines_go_by_their_share_of_the_host(spark):
     assert all(got[k] == 6 for k in range(6))  # six of seven documents
     assert all(got[100 + k] == 0 for k in range(140))  # seven of 140 are not above five percent
     assert all(got[300 + k] == 0 for k in range(4))  # fewer than five documents
+
+
+def plain_tree(points, shards, dims):
+    """shard by row position: a k-d build by sorting. ``points``: (size, coordinates)."""
+    out = {}
+
+    def build(rows, n, low):
+        if n == 1 or not rows:
+            out.update(dict.fromkeys(rows, low))
+            return
+        width = [max(points[r][1][d] >> 32 for r in rows) - min(points[r][1][d] >> 32 for r in rows) for d in range(dims)]
+        d = max(range(dims), key=lambda i: (width[i], -i))
+        want, below, cut = sum(points[r][0] for r in rows) * (n // 2) / n, 0, None
+        for x in sorted({points[r][1][d] for r in rows}):
+            upto = below + sum(points[r][0] for r in rows if points[r][1][d] == x)
+            if upto > want:
+                cut = x + (upto - want < want - below)  # the side that comes nearer
+                break
+            below = upto
+        build([r for r in rows if points[r][1][d] < cut], n // 2, low)
+        build([r for r in rows if points[r][1][d] >= cut], n - n // 2, low + n // 2)
+
+    build(list(range(len(points))), shards, 0)
+    return out
+
+
+def test_shards_equal_a_plain_tree(spark):
+    rng = random.Random(44)
+    rows = [(i, "x" * int(rng.paretovariate(1.2) * 20), rng.choice(["a", "b", "c", None]), rng.choice("ssstu"), rng.choice([0, 3, 50, 51, 900, 901, None])) for i in range(500)]
+    rows += [(600 + k, "same text", "a", "s", 9) for k in range(40)] + [(700, None, None, None, None), (7, rows[7][1], *rows[7][2:])]
+    df = spark.createDataFrame(rows, EMPTY).repartition(3)
+    meta = [log_scale(F.coalesce(F.col("n_chars"), F.lit(0))), hash_scale(F.col("lang")), hash_scale(F.col("source"))]
+    told = df.select("doc_id", "text", *[m.alias(f"m{i}") for i, m in enumerate(meta)],
+                     F.xxhash64("doc_id", F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))).bitwiseAND(0xFFFFFFFF).alias("tie")).collect()
+    points = [(len((r.text or "").encode()) + 16, [(m << 32) + r.tie for m in (r.m0, r.m1, r.m2)]) for r in told]
+    for n in (1, 6, 13):
+        shard = plain_tree(points, n, 3)
+        want = []
+        for s in range(n):
+            own = sorted((told[i].tie % 1024, told[i].tie, told[i].doc_id, i) for i in shard if shard[i] == s)
+            want += [(doc, s, k) for k, (_, _, doc, _) in enumerate(own)]
+        assert Counter((r.doc_id, r.shard, r.slot) for r in shards(df, n).collect()) == Counter(want)
