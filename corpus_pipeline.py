@@ -58,6 +58,9 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Replaces live-looking secrets in the texts and brings n_chars up to date; keeps every document.
 
     A secret is live however many documents of a source hold it, and copies of one text are one holder.
+    Null and empty texts hold none and stay as they are; a null source is a source of its own; rows that
+    repeat a doc_id and its text are redacted alike; spans that overlap are replaced as one; an empty
+    table stays empty.
     """
     digest = F.xxhash64(F.coalesce("text", F.lit("")))
     found = scan_secrets(docs, F.col("doc_id"), F.col("text"), digest, F.col("source"), max_repositories=None)
@@ -66,13 +69,20 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or leaves out documents so that each source's words come near its target."""
+    """Repeats or leaves out documents so that each source's words come near its target.
+
+    A null text has no words, a null source is a source of its own, the last one; ties of size are ordered by
+    digest and id, and rows that repeat a doc_id are documents of their own; an empty table stays empty.
+    """
     mix = mix_sources(docs, word_count(F.col("text")), F.col("source"), F.col("doc_id"), _packed(docs))
     return emit(docs, mix)
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per document of the mix: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    """One row per document of the mix: doc_id, n_tokens, ids_sha256, decoded_sha256.
+
+    A null text is empty: only the end id. Rows that the mix repeats give equal rows; an empty table gives none.
+    """
     import public_tokenizers
 
     ship(spark)
