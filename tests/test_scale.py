@@ -3,9 +3,11 @@
 import datetime as dt
 from decimal import Decimal as D
 
+import conftest
 from martforge.config import MartConfig
-from martforge.plans import materials
+from martforge.plans import materials, purchasing
 from martforge.sources.base import FrameSources
+from pyspark.sql import functions as F
 
 CFG = MartConfig(as_of=dt.date(2024, 6, 1))
 Q = "decimal(13,3)"
@@ -31,3 +33,42 @@ def test_material_tables_are_not_broadcast_by_their_file_size(spark):
     out = materials.inventory(src, CFG)
     assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
     assert [(r.material_number, r.total_qty, r.total_value) for r in out.collect()] == [("M1", D(4), D("4.04"))]
+
+
+def test_status_totals_multiply_counts_not_rows(spark):
+    n = 12  # headers, items and schedule lines of one document number: n * n * n rows of the mart
+    src = frames(
+        spark,
+        EKKO=("MANDT string, EBELN string, BSART string, LIFNR string, BEDAT string, EKORG string, EKGRP string",
+              [("400", "0004000001", "NB", f"000000000{k % 2}", "20240101", "4000", "G") for k in range(n)] + [("400", "0004000002", "NB", None, None, None, None)]),
+        EKPO=("MANDT string, EBELN string, EBELP string, MATNR string, TXZ01 string, WERKS string, MATKL string",
+              [("400", "0004000001", "00010", f"M{k % 3}", "t", "1001", "G") for k in range(n)] + [("400", "0004000002", "00010", None, "t", "1001", "G")]),
+        EKET=(f"MANDT string, EBELN string, EBELP string, ETENR string, EINDT string, SLFDT string, MENGE {Q}, WEMNG {Q}",
+              [("400", "0004000001", "00010", f"{k:04d}", "20240201", None, D(k) if k else None, D(0)) for k in range(n)]
+              + [("400", "0004000002", "00010", "1", "20250101", None, D("1.5"), D(0)), ("400", "0004000003", "00010", "1", "20250101", None, D(1), D(0))]),
+        EKBE=(f"MANDT string, EBELN string, EBELP string, BEWTP string, SHKZG string, BELNR string, BUZEI string, BUDAT string, MENGE {Q}",
+              [("400", "0004000001", "00010", "E", "S", "1", "1", "20240115", D(10)), ("400", "0004000001", "00010", "E", "S", "2", "1", "20240315", D(10))]),
+        LFA1=("MANDT string, LIFNR string, NAME1 string", [("400", "0000000000", "Zero"), ("400", "0000000001", "One")]),
+        MAKT=("MANDT string, MATNR string, SPRAS string, MAKTX string", [("400", "M1", "E", "a"), ("400", "M2", "E", "b"), ("400", "M2", "E", "b")]))
+    whole = purchasing.vendor_otd(src, CFG).select("vendor_account_number", "vendor_name", "otd_status", "scheduled_quantity")
+    keys = ["vendor_account_number", "vendor_name", "otd_status"]
+    wanted = conftest.rows(whole.groupBy(*keys).agg(F.count(F.lit(1)).alias("lines"), F.sum("scheduled_quantity").cast("decimal(18,3)").alias("scheduled_quantity")))
+    got = purchasing.vendor_otd_totals(src, CFG)
+    assert conftest.rows(got) == wanted and sum(r[3] for r in wanted) > n ** 3
+    got.collect()
+    plan, seen = got._jdf.queryExecution().executedPlan(), []
+
+    def walk(p):
+        if "Join" in p.nodeName():
+            seen.append(p.metrics().apply("numOutputRows").value())
+        if p.nodeName().startswith("AdaptiveSparkPlan"):
+            walk(p.executedPlan())
+        elif "QueryStage" in p.nodeName():
+            walk(p.plan())
+        else:
+            kids = p.children()
+            for i in range(kids.size()):
+                walk(kids.apply(i))
+
+    walk(plan)
+    assert seen and max(seen) < n * n  # before: a join of n * n * n rows
