@@ -72,3 +72,30 @@ def test_status_totals_multiply_counts_not_rows(spark):
 
     walk(plan)
     assert seen and max(seen) < n * n  # before: a join of n * n * n rows
+
+
+def test_explosion_carries_no_paths_unless_listed(spark):
+    from martforge.operators.hierarchy import explode_all, explode_hierarchy, prepare_edges
+    from martforge.plans.bom import EXPLOSION_CARRY, bom_roots
+
+    import test_hierarchy as h
+
+    rows = [h.direct_row(f"M{i}", f"M{i + 1}") for i in range(9)] + [h.direct_row("M3", "M0", item="0020")]
+    edges = prepare_edges(spark.createDataFrame(rows, h.DIRECT).select("parent_matnr", "component_matnr", *EXPLOSION_CARRY),
+                          "parent_matnr", "component_matnr", ["plant", "bom_usage"])
+    roots = bom_roots(edges)
+    listed = explode_all(roots, ["top_plant", "bom_usage"], "item_number")
+    plain = explode_all(roots.drop("sort_path"), ["top_plant", "bom_usage"], "item_number")
+    walked = explode_hierarchy(edges, roots.drop("sort_path"), "parent_matnr", "component_matnr",
+                               {"top_plant": "plant", "bom_usage": "bom_usage"}, EXPLOSION_CARRY, "item_number")
+    assert plain.columns == walked.columns == [c for c in listed.columns if c != "sort_path"]
+    assert conftest.rows(plain) == conftest.rows(walked) == conftest.rows(listed.drop("sort_path"))
+
+
+def test_parts_in_one_row_group_are_shaped_by_all_cores(spark, tmp_path):
+    from martforge.sources.shape import DriverSources
+
+    spark.range(1000).select(F.col("id").alias("p_partkey"), F.lit(1).alias("p_size")).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    src = DriverSources(spark, str(tmp_path))
+    assert src.raw("part").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert src.table("STPO").select("STLNR", "STLKN", "DATUV").distinct().count() == src.table("STPO").count() > 3000
