@@ -26,18 +26,14 @@ from pyspark.sql import DataFrame
 BLANK = "▁"
 
 
-#: What is remembered of a string: its ids in decimal form, joined by blanks, and as little-endian 32-bit integers.
-Found = tuple[str, bytes]
-
-
 class Memo(dict):
     """Answers of ``f`` for short strings, in two generations of at most ``most`` entries; what ``skip`` finds is not kept."""
 
-    def __init__(self, f: Callable[[str], Found], most: int, skip: re.Pattern | None = None, longest: int = 64) -> None:
+    def __init__(self, f: Callable[[str], bytes], most: int, skip: re.Pattern | None = None, longest: int = 64) -> None:
         super().__init__()
         self.f, self.most, self.skip, self.longest, self.old = f, most, skip, longest, {}
 
-    def __missing__(self, s: str) -> Found:
+    def __missing__(self, s: str) -> bytes:
         found = self.old.get(s)
         if found is None:
             found = self.f(s)
@@ -64,6 +60,7 @@ class PieceModel:
         self.text = {i: p for p, i in self.ids.items()}
         self.byte_ids = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.end_id = sp.eos_id()
+        self.said = [str(i) for i in range(n)]
         self.joined = {p[k: k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.automaton = ahocorasick.Automaton()
         for p, i in self.ids.items():
@@ -162,12 +159,11 @@ class PieceModel:
                 out += [self.byte_ids[b] for b in s[i].encode()]
         return out
 
-    def part_ids(self, s: str) -> Found:
-        """Ids of a part."""
-        ids = self.encode_part(s)
-        return " ".join(map(str, ids)), np.array(ids, "<i4").tobytes()
+    def part_ids(self, s: str) -> bytes:
+        """Ids of a part, as little-endian 32-bit integers: all that is remembered of it."""
+        return np.array(self.encode_part(s), "<i4").tobytes()
 
-    def word_ids(self, word: str) -> Found:
+    def word_ids(self, word: str) -> bytes:
         """Ids of a blank and a word without blanks that a blank or the end follows."""
         whole, joined, parts, begin = BLANK + word, self.joined, [], 0
         if self.cut:
@@ -175,21 +171,22 @@ class PieceModel:
                 if whole[k - 1: k + 1] not in joined:  # no piece reaches across
                     parts.append(whole[begin:k])
                     begin = k
+        if not parts:  # one part: the word's entry holds it, a second one under the part would say the same
+            return self.part_ids(whole)
         parts.append(whole[begin:])
-        said, raw = zip(*map(self.memo.__getitem__, parts), strict=True)
-        return " ".join(said), b"".join(raw)
+        return b"".join(map(self.memo.__getitem__, parts))
 
     def encode(self, text: str) -> tuple[list[int], str]:
         """Ids of a text with the end id, and their decimal form joined by blanks."""
         if not text:
-            found: list[Found] = []
+            found: list[bytes] = []
         elif self.cut and "  " not in text and text[0] != " " and text[-1] != " " and BLANK not in text:
             found = list(map(self.words.__getitem__, text.split(" ")))  # single blanks: every word is cut off on its own
         else:
             found = list(map(self.memo.__getitem__, self.parts(BLANK + text.replace(" ", BLANK))))
-        ids = np.frombuffer(b"".join([f[1] for f in found]), "<i4").tolist()
+        ids = np.frombuffer(b"".join(found), "<i4").tolist()
         ids.append(self.end_id)
-        return ids, " ".join([*[f[0] for f in found], str(self.end_id)])
+        return ids, " ".join(map(self.said.__getitem__, ids))
 
 
 _MODELS: dict[str, PieceModel] = {}

@@ -208,3 +208,13 @@ def test_long_prose_is_whole(spark):
     t = prose(random.Random(1), 20_000)
     m = PieceModel(PIECES)
     assert m.encode(t)[0] == m.library.encode(t, add_eos=True)
+
+
+def test_words_of_one_part_are_remembered_once():
+    m = PieceModel(PIECES)
+    texts = ["plain words stand here and plain words stay", "naïve 漢字 mixed42 words", "x" * 100]
+    for t in texts:
+        ids, said = m.encode(t)
+        assert ids == [*m.library.encode(t), m.end_id] and said == " ".join(map(str, ids))
+    cut = {w for w in m.words if all(("▁" + w)[k: k + 2] in m.joined for k in range(len(w)))}
+    assert {"plain", "words"} <= cut and not any("▁" + w in m.memo for w in cut)
