@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martforge.llm import embedding_forest as ef
 from martforge.llm import language_id as li
+from martforge.llm import token_frames
 from martforge.llm.piece_encode import PieceModel, encode_decode
 from martforge.llm.token_frames import ChunkEncoder, FrameReader, FrameWriter, read_token_frames, write_token_frames
 from tests.llm.helpers import EMPTY, odd_documents, prose
@@ -55,6 +56,79 @@ def test_chunk_encoder_equals_the_library():
             assert np.frombuffer(got, e.kind).tolist() == [*tk.encode(t, add_special_tokens=False).ids, 2]
 
 
+def test_chunk_encoder_looks_up_each_chunk_once(monkeypatch):
+    """Looking up every word cost as much as the library's calls (check of round 3: 490 CPU seconds a GB)."""
+    from tokenizers import Tokenizer
+
+    class Memo(dict):
+        asked = 0
+
+        def __getitem__(self, key):
+            Memo.asked += 1
+            return super().__getitem__(key)
+
+    monkeypatch.setattr(token_frames, "LEARN", 7, raising=False)
+    e, tk = ChunkEncoder(BYTES), Tokenizer.from_file(BYTES)
+    e.young = Memo()
+    words = [f"word{k}" for k in range(40)]
+    texts = [" ".join(words[k:] + words[:k]) + "\nThe end." for k in range(40)] * 5
+    got = e.encode(texts, 2)
+    assert [np.frombuffer(x, e.kind).tolist() for x in got] == [[*tk.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert Memo.asked <= 2 * 40 + 3  # each after a blank and after a line break, and three in "The end."
+
+
+def test_cuts_at_stops_equal_the_library():
+    from tokenizers import Tokenizer
+
+    tk, e = Tokenizer.from_file(BYTES), ChunkEncoder(BYTES, remember=300)
+    assert len(e.written) > 400
+    assert [e.written[c] for c in map(ord, " zé")] == ["Ġ", "z", "Ã©"]
+    rng = random.Random(5)
+    bits = [*"aZéßÿŁɏ×÷Ωя中̀", *",.;:!?", "'s", "'ll", "'", "&&&", "1", "22", "the", "Ing", "-", "\x00", "\n", " ", " ", " ", "\t"]
+    texts = ["".join(rng.choices(bits[:-1] if k % 9 else bits, k=rng.randint(0, 40))).strip() for k in range(6000)]
+    texts += [f"x{a}{b}y {a}{b} {b}{a}\n{a}x{b}" for a in bits[:-4] for b in bits[:-4]]
+    for k in range(0, len(texts), 500):
+        for t, got in zip(texts[k: k + 500], e.encode(texts[k: k + 500], 2), strict=True):
+            assert np.frombuffer(got, e.kind).tolist() == [*tk.encode(t, add_special_tokens=False).ids, 2], t
+
+
+def test_a_tokenizer_that_cuts_words_gets_no_words_past_it(tmp_path):
+    from tokenizers import Tokenizer, normalizers
+
+    tk = Tokenizer.from_file(BYTES)
+    tk.normalizer = normalizers.Lowercase()
+    tk.save(str(tmp_path / "t.json"))
+    e, t = ChunkEncoder(str(tmp_path / "t.json")), "The Quick, BROWN fox.\nJumps É"
+    assert e.written == {}
+    assert np.frombuffer(e.encode([t], 2)[0], e.kind).tolist() == [*tk.encode(t, add_special_tokens=False).ids, 2]
+
+
+def test_odd_texts_are_all_that_white_space_can_make():
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    e = ChunkEncoder(BYTES)
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c}b" for c in chars] + [w.join(t) for w in (" ", "\n") for t in (("", "a"), ("a", ""), ("a", "", "b"), ("a", "b", "c"), ("", ""), ("a",), ("",))]
+    texts += ["a \nb", "a\n b", "a b\nc", "a<|endoftext|>b", "a<|endoftext|b"]
+    odd = pc.match_substring_regex(pa.array(texts, pa.large_string()), e.odd).to_pylist()
+
+    def plain(t):
+        return bool(t) and t.split() == t.replace("\n", " ").split(" ") and "\u180e" not in t and "<|endoftext|>" not in t
+
+    assert [t for t, o in zip(texts, odd, strict=True) if o == plain(t)] == []
+
+
+def test_texts_go_in_runs_of_bounded_bytes(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(token_frames, "TEXT_TARGET", 10)
+    for texts in ([], [None], ["x" * 50], ["a", None, "bb", "c" * 30, "d" * 9, "", "e"], ["x" * 4] * 20):
+        runs = list(token_frames._groups(pa.array(texts, pa.string())))
+        assert [t for a, n in runs for t in texts[a: a + n]] == texts
+        assert all(sum(len(t or "") for t in texts[a + 1: a + n]) < 10 for a, n in runs)
+
+
 def test_frames_read_only_what_is_asked(tmp_path):
     rng = np.random.default_rng(1)
     docs = [rng.integers(0, 60_000, int(n)).astype("<u2") for n in rng.integers(0, 900, 60)]
