@@ -38,7 +38,7 @@ from martforge.llm.common import shared_path, stored
 
 DATA_TARGET = 1 << 18  # ids in a data frame, at least, unless the shard ends
 TEXT_TARGET = 1 << 23  # bytes of text encoded at once, and one document at most
-LEARN = 8192  # new chunks in a call of the library
+LEARN = 1 << 16  # characters of new chunks in a call of the library, and one chunk at most
 ENTRY = np.dtype([("doc_id", "<i8"), ("n", "<u4"), ("frame", "<u4")])
 INDEX_MAGIC, SEEK_MAGIC, SEEK_FOOT = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1
 
@@ -142,6 +142,12 @@ class FrameReader:
         return self._ids[at: at + n]
 
 
+def _runs(sizes, target: int) -> Iterator[tuple[int, int]]:
+    """First and next row of runs with about ``target`` in all; a larger row begins its run."""
+    run = np.cumsum(np.asarray(sizes, np.int64)) // target
+    return pairwise([*np.flatnonzero(np.diff(run, prepend=-1)).tolist(), len(run)])
+
+
 class ChunkEncoder:
     """Ids of whole texts from the tokenizers library, met chunks remembered.
 
@@ -149,17 +155,18 @@ class ChunkEncoder:
     before it, nor a lone line break between visible characters with either side. Texts are cut there
     and the chunks go to the library as pre-tokenized input; the ids of a text are those of its chunks.
     A chunk is named by the word after its blank, or by its line break and the word after that. Texts
-    with other white space are cut at blanks before visible characters only; texts with special strings
-    go to the library whole. All others are cut, also between a letter and a stop (the stop's chunk is
-    named by a tab and what follows), their chunks numbered and the ids put together as Arrow columns, so
-    only the distinct chunks of a call are looked up. A blank and letters are one pre-token, which goes to
-    the library's model as the pre-tokenizer writes it. ``remember`` bounds the chunks kept per generation.
+    with other white space are cut at blanks before visible characters only. Both are cut between a letter
+    and a stop as well; a chunk without a blank before it is named by a tab and what follows. Chunks are
+    numbered and the ids put together as Arrow columns, so only the distinct chunks of a call are looked
+    up. A blank and letters are one pre-token, which goes to the library's model as the pre-tokenizer
+    writes it. Texts with special strings, or U+FFFF, which marks the cuts, go to the library whole.
+    ``remember`` bounds the chunks kept per generation.
     """
 
-    _cut = re.compile(r" (?=[^\s\u180e])")
+    _mark = "\uffff"
+    _space = r"\t\x0B-\r\x1C-\x1F\x85\xA0\x{1680}\x{180E}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
     #: Texts whose white space is not single blanks and line breaks between visible characters (RE2).
-    _odd = (r"^$|^[ \n]|[ \n]$|[ \n][ \n]|[\t\x0B-\r\x1C-\x1F\x85\xA0\x{1680}\x{180E}\x{2000}-\x{200A}"
-            r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+    _odd = rf"^$|^[ \n]|[ \n]$|[ \n][ \n]|[{_space}]"
     _letters = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 
     def __init__(self, path: str, remember: int = 400_000, longest: int = 64) -> None:
@@ -169,7 +176,7 @@ class ChunkEncoder:
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.width = int(self.kind[-1])
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd = "|".join([self._odd, *map(re.escape, self.special)])
+        self.uncut = "|".join(map(re.escape, [self._mark, *self.special]))
         self.remember, self.longest, self.young, self.old = remember, longest, {}, {}
         self.skip = len(self._whole("\n"))
         self.written = self._written()
@@ -188,13 +195,6 @@ class ChunkEncoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _parts(self, text: str) -> tuple[list[str], bytes]:
-        """Names of chunks of an odd text and the ids before them."""
-        if any(x in text for x in self.special):
-            return [], self._whole(text)
-        first, *rest = self._cut.split(text)
-        return rest, self._whole(first)
-
     def _keep(self, names: list[str], ids: list[int], counts) -> None:
         raw, begin = np.array(ids, self.kind).tobytes(), 0
         for c, end in zip(names, (np.cumsum(counts) * self.width).tolist(), strict=True):
@@ -202,7 +202,7 @@ class ChunkEncoder:
             begin = end
 
     def _learn(self, need: set[str]) -> list[str]:
-        """Ids of new chunks, ``LEARN`` of them at once; returns those too long to keep."""
+        """Ids of new chunks, about ``LEARN`` characters at once; returns those too long to keep."""
         words, others = [], []
         for c in need:
             if (known := self.old.get(c)) is not None:
@@ -212,12 +212,12 @@ class ChunkEncoder:
             else:
                 others.append(c)
         tokenize = self.tokenizer.model.tokenize
-        for k in range(0, len(words), LEARN):
-            new = words[k: k + LEARN]
+        for a, b in _runs(list(map(len, words)), LEARN):
+            new = words[a:b]
             found = [[t.id for t in tokenize((" " + c).translate(self.written))] for c in new]
             self._keep(new, list(chain.from_iterable(found)), [len(x) for x in found])
-        for k in range(0, len(others), LEARN):
-            new = others[k: k + LEARN]
+        for a, b in _runs(list(map(len, others)), LEARN):
+            new = others[a:b]
             e = self.tokenizer.encode([c if c[0] == "\n" else c[1:] if c[0] == "\t" else " " + c for c in new], is_pretokenized=True, add_special_tokens=False)
             self._keep(new, e.ids, np.bincount(np.array(e.word_ids, np.int64), minlength=len(new)))
         return [c for c in chain(words, others) if len(c) > self.longest]
@@ -229,29 +229,35 @@ class ChunkEncoder:
 
         kind, end = pa.large_string(), np.array([end_id], self.kind).tobytes()
         texts = pc.fill_null(pa.array(texts, kind) if isinstance(texts, list) else texts.cast(kind), "")
-        odd = pc.match_substring_regex(texts, self.odd)
-        parts = [self._parts(t) for t in texts.filter(odd).to_pylist()]
-        broken = pc.replace_substring(texts.filter(pc.invert(odd)), "\n", " \n")
-        broken = pc.replace_substring_regex(broken, f"([{self._letters}])([,.;:!?])", "\\1 \t\\2")
-        chunks = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\n", kind), broken, pa.scalar("", kind)), " ")
+        uncut = pc.match_substring_regex(texts, self.uncut)
+        odd = pc.and_not(pc.match_substring_regex(texts, self._odd), uncut)
+        plain = pc.invert(pc.or_(uncut, odd))
+
+        def after(first: str, x):
+            return pc.binary_join_element_wise(pa.scalar(first, kind), x, pa.scalar("", kind))
+
+        broken = pc.replace_substring(pc.replace_substring(texts.filter(plain), "\n", " \n"), " ", self._mark)
+        spaced = pc.replace_substring_regex(texts.filter(odd), f" ([^ \\n{self._space}])", self._mark + "\\1")
+        marked = pa.concat_arrays([after("\n", broken), after("\t", spaced)])
+        stops = pc.replace_substring_regex(marked, f"([{self._letters}])([,.;:!?])", f"\\1{self._mark}\t\\2")
+        chunks = pc.split_pattern(stops, self._mark)
         codes = chunks.flatten().dictionary_encode()
         names = codes.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist takes ten times as long
         if len(self.young) >= self.remember:
             self.old, self.young = self.young, {}
-        large = self._learn(set(names).union(*(p for p, _ in parts)).difference(self.young))
-        get = self.young.__getitem__
-        ids = pa.array(list(map(get, names)), pa.large_binary()).take(codes.indices)
-        plain = iter(pc.binary_join(pa.ListArray.from_arrays(chunks.offsets, ids), pa.scalar(b"", ids.type)).to_pylist())
-        rest = iter(parts)
-        out = []
-        for is_odd in odd.to_pylist():
-            if is_odd:
-                names, lead = next(rest)
-                out.append(lead + b"".join(map(get, names)) + end)
-            else:
-                out.append(next(plain)[self.skip:] + end)
+        large = self._learn(set(names).difference(self.young))
+        ids = pa.array(list(map(self.young.__getitem__, names)), pa.large_binary()).take(codes.indices)
+        found = pc.binary_join(pa.ListArray.from_arrays(chunks.offsets, ids), pa.scalar(b"", ids.type)).to_pylist()
         for c in large:
             del self.young[c]
+        out = [b""] * len(texts)
+        at = [np.flatnonzero(x.to_numpy(zero_copy_only=False)).tolist() for x in (plain, odd, uncut)]
+        for k, raw in zip(at[0], found[:len(broken)], strict=True):
+            out[k] = raw[self.skip:] + end
+        for k, raw in zip(at[1], found[len(broken):], strict=True):
+            out[k] = raw + end
+        for k in at[2]:
+            out[k] = self._whole(texts[k].as_py()) + end
         return out
 
 
@@ -265,15 +271,6 @@ def encoder(path: str) -> ChunkEncoder:
     return _ENCODERS[path]
 
 
-def _groups(texts) -> Iterator[tuple[int, int]]:
-    """First row and number of rows of runs with about TEXT_TARGET bytes; a larger text begins its run."""
-    import pyarrow.compute as pc
-
-    run = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // TEXT_TARGET
-    for a, b in pairwise([*np.flatnonzero(np.diff(run, prepend=-1)).tolist(), len(texts)]):
-        yield a, b - a
-
-
 def _filesystem(uri: str):
     """Arrow file system and path of a folder in the shared store."""
     from pyarrow import fs
@@ -295,6 +292,7 @@ def write_token_frames(docs: DataFrame, tokenizer_path: str, end_id: int, folder
 
     def write(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
@@ -305,12 +303,12 @@ def write_token_frames(docs: DataFrame, tokenizer_path: str, end_id: int, folder
         out = None
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for k, rows in _groups(texts):
+            for a, b in _runs(pc.fill_null(pc.binary_length(texts), 0), TEXT_TARGET):
                 if w is None:
                     store.create_dir(root, recursive=True)
                     out = store.open_output_stream(own)
                     w = FrameWriter(out, enc.width)
-                for i, raw in zip(ids[k: k + rows], enc.encode(texts.slice(k, rows), end_id), strict=True):
+                for i, raw in zip(ids[a:b], enc.encode(texts.slice(a, b - a), end_id), strict=True):
                     w.add(i, raw)
                     n += 1
         if w is not None:

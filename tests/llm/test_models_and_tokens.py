@@ -111,22 +111,38 @@ def test_odd_texts_are_all_that_white_space_can_make():
     chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     texts = [f"a{c}b" for c in chars] + [w.join(t) for w in (" ", "\n") for t in (("", "a"), ("a", ""), ("a", "", "b"), ("a", "b", "c"), ("", ""), ("a",), ("",))]
     texts += ["a \nb", "a\n b", "a b\nc", "a<|endoftext|>b", "a<|endoftext|b"]
-    odd = pc.match_substring_regex(pa.array(texts, pa.large_string()), e.odd).to_pylist()
+    odd = pc.match_substring_regex(pa.array(texts, pa.large_string()), f"{e._odd}|{e.uncut}").to_pylist()
 
     def plain(t):
-        return bool(t) and t.split() == t.replace("\n", " ").split(" ") and "\u180e" not in t and "<|endoftext|>" not in t
+        return bool(t) and t.split() == t.replace("\n", " ").split(" ") and not any(x in t for x in ("\u180e", "\uffff", "<|endoftext|>"))
 
     assert [t for t, o in zip(texts, odd, strict=True) if o == plain(t)] == []
 
 
-def test_texts_go_in_runs_of_bounded_bytes(monkeypatch):
-    import pyarrow as pa
+def test_runs_are_bounded_and_whole():
+    for sizes in ([], [0], [50], [1, 0, 2, 30, 9, 0, 1], [4] * 20):
+        runs = list(token_frames._runs(sizes, 10))
+        assert [x for a, b in runs for x in sizes[a:b]] == sizes
+        assert all(sum(sizes[a + 1: b]) < 10 for a, b in runs)
+
+
+def test_chunks_of_texts_with_odd_white_space_are_looked_up_once():
+    from tokenizers import Tokenizer
+
+    class Calls:
+        def __init__(self, tk):
+            self.tk, self.model, self.seen = tk, tk.model, []
 
-    monkeypatch.setattr(token_frames, "TEXT_TARGET", 10)
-    for texts in ([], [None], ["x" * 50], ["a", None, "bb", "c" * 30, "d" * 9, "", "e"], ["x" * 4] * 20):
-        runs = list(token_frames._groups(pa.array(texts, pa.string())))
-        assert [t for a, n in runs for t in texts[a: a + n]] == texts
-        assert all(sum(len(t or "") for t in texts[a + 1: a + n]) < 10 for a, n in runs)
+        def encode(self, x, **how):
+            self.seen += x if isinstance(x, list) else [x]
+            return self.tk.encode(x, **how)
+
+    e, tk = ChunkEncoder(BYTES), Tokenizer.from_file(BYTES)
+    texts = [f"Same start here.\n\nAnd  some\tmore {k % 3}, end. " for k in range(60)] + ["中文" * 50_000 + "\t", " a", "a\uffffb c", "\uffff"]
+    e.tokenizer = Calls(tk)
+    got = e.encode(texts, 2)
+    assert [np.frombuffer(x, e.kind).tolist() for x in got] == [[*tk.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert len(e.tokenizer.seen) == len(set(e.tokenizer.seen)) < 20 and not any(len(c) > e.longest for c in e.young)
 
 
 def test_frames_read_only_what_is_asked(tmp_path):
