@@ -157,3 +157,52 @@ def test_lines_of_a_shared_number_are_neither_moved_nor_computed(spark):
             assert "RLIKE" not in plan.toString().split("SortMergeJoin")[0]  # and its columns were computed then
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def moved_records(df):
+    """Records written by each exchange of a collected frame."""
+    moved = []
+
+    def walk(p):
+        if p.nodeName() == "Exchange":
+            moved.append(p.metrics().apply("shuffleRecordsWritten").value())
+        if p.nodeName().startswith("AdaptiveSparkPlan"):
+            walk(p.executedPlan())
+        elif "QueryStage" in p.nodeName():
+            walk(p.plan())
+        else:
+            for i in range(p.children().size()):
+                walk(p.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return moved
+
+
+def test_lines_and_receipts_of_small_items_move_once(spark):
+    items, n = 10, 50
+    src = frames(
+        spark,
+        EKET=(f"MANDT string, EBELN string, EBELP string, ETENR string, EINDT string, SLFDT string, MENGE {Q}, WEMNG {Q}",
+              [("400", f"000400000{d}", "00010", f"{k:04d}", "20240201", None, D(2), D(0)) for d in range(items) for k in range(n)]),
+        EKBE=(f"MANDT string, EBELN string, EBELP string, BEWTP string, SHKZG string, BELNR string, BUZEI string, BUDAT string, MENGE {Q}",
+              [("400", f"000400000{d}", "00010", "E", "S", f"{k:04d}", "1", "20240115", D(1)) for d in range(items) for k in range(n)]))
+    out = purchasing.otd_schedule_matches(src, CFG)
+    got = out.collect()
+    assert {(r.EBELN, r.sched_rank): r.BELNR for r in got} == {(f"000400000{d}", k + 1): f"{2 * k + 1:04d}" if k < n // 2 else None for d in range(items) for k in range(n)}
+    assert sum(moved_records(out)) < 2 * 2 * items * n  # before: four times, for the notes of groups that go on
+
+
+def test_large_and_small_groups_are_matched_alike(spark):
+    from martforge.operators.matching import completion_match
+
+    size = {"a": 3, "b": 40, None: 5, "c": 90, "d": 1}
+    sched = [(k, f"2024{i % 12 + 1:02d}01", f"{i:03d}", None if i % 7 == 3 else D(i % 4), "x") for k, n in size.items() for i in range(n)]
+    got = [(k, f"2024{i % 11 + 1:02d}05", f"{i:03d}", None if i % 5 == 0 else D(i % 3 - (i % 9 == 8))) for k, n in size.items() if k != "d" for i in range(n + 2)]
+    s = spark.createDataFrame(sched, f"k string, due string, line string, qty {Q}, more string")
+    r = spark.createDataFrame(got, f"k string, posted string, doc string, rq {Q}")
+    out = {}
+    for whole in (0, 1, 50, 10 ** 6):  # all in ranges, all but the smallest, the large ones, none
+        df = completion_match(s, r, ["k"], [F.col("due"), F.col("line")], "qty", [F.col("posted"), F.col("doc")], "rq", ["posted", "doc"], whole=whole)
+        out[whole] = (df.schema.simpleString(), conftest.rows(df))
+    assert len(out[0][1]) == len(sched) and any(x[-1] for x in out[0][1])
+    assert out[1] == out[50] == out[10 ** 6] == out[0]
